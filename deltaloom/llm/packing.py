@@ -26,8 +26,9 @@ from .common import materialize, slices
 #: White space as the vocabulary's normaliser knows it: no piece of text crosses it.
 SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 #: Words remembered by a worker; beyond it the memory starts anew (results are the same).
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 _MARK = "\x01"
+_NO_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() takes these for white space, the normaliser does not
 _memory: dict[str, dict] = {}
 
 
@@ -67,7 +68,7 @@ def token_bytes(path: str, text: str) -> bytes:
     """Ids of a text as little-endian uint32. Words are encoded one by one: the vocabulary drops white space and never joins across it."""
     m = _encoder(path)
     known = m["known"]
-    found = SPACE.split(text)
+    found = SPACE.split(text) if any(c in text for c in _NO_SPACE) else text.split()
     try:
         return b"".join(map(known.__getitem__, found))
     except KeyError:
