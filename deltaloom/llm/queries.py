@@ -6,9 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from .common import table
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import canonical_turns, format_chats, read_back
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    control = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    record = F.to_json(F.struct("turn", "role", "text"))
+    turns = canonical_turns(rows.unionByName(own), "conv_id", record, "turn")
+    return read_back(format_chats(turns, "conv_id"), "conv_id")
+
+
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -18,6 +37,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op10_best_fit_packing,)
+    f.__name__: f for f in (op3_chat_format, op5_main_text, op10_best_fit_packing)
 }
 SQL: dict[str, str] = {}
