@@ -28,6 +28,12 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge
+
+    return judge(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -37,6 +43,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_chat_format, op5_main_text, op10_best_fit_packing)
+    f.__name__: f for f in (op3_chat_format, op5_main_text, op9_quality_outliers, op10_best_fit_packing)
 }
 SQL: dict[str, str] = {}
