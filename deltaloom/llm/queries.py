@@ -28,6 +28,13 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import judge
 
@@ -43,6 +50,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_chat_format, op5_main_text, op9_quality_outliers, op10_best_fit_packing)
+    f.__name__: f for f in (op3_chat_format, op5_main_text, op8_minhash_dedup, op9_quality_outliers, op10_best_fit_packing)
 }
 SQL: dict[str, str] = {}
