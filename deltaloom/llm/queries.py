@@ -22,12 +22,24 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chats(turns, "conv_id"), "conv_id")
 
 
+def op4_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html import extract_pages
 
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op6_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import findings, train
+
+    return findings(table(spark, sf_dir, "documents"), train(spark))
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import near_duplicates
 
@@ -50,6 +62,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_chat_format, op5_main_text, op8_minhash_dedup, op9_quality_outliers, op10_best_fit_packing)
+    f.__name__: f for f in (op3_chat_format, op4_simhash_decontamination, op5_main_text, op6_secret_forest, op8_minhash_dedup, op9_quality_outliers, op10_best_fit_packing)
 }
 SQL: dict[str, str] = {}
