@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import dedup_bytes
+
+    return dedup_bytes(table(spark, sf_dir, "documents"), k=100)
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import canonical_turns, format_chats, read_back
 
@@ -40,6 +46,12 @@ def op6_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return findings(table(spark, sf_dir, "documents"), train(spark))
 
 
+def op7_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import dedup_words
+
+    return dedup_words(table(spark, sf_dir, "documents"), k=13)
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import near_duplicates
 
@@ -62,6 +74,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_chat_format, op4_simhash_decontamination, op5_main_text, op6_secret_forest, op8_minhash_dedup, op9_quality_outliers, op10_best_fit_packing)
+    f.__name__: f for f in (op2_suffix_dedup, op3_chat_format, op4_simhash_decontamination, op5_main_text, op6_secret_forest, op7_debruijn_dedup, op8_minhash_dedup, op9_quality_outliers, op10_best_fit_packing)
 }
 SQL: dict[str, str] = {}
