@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op1_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import identify
+
+    return identify(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring import dedup_bytes
 
@@ -74,6 +80,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_suffix_dedup, op3_chat_format, op4_simhash_decontamination, op5_main_text, op6_secret_forest, op7_debruijn_dedup, op8_minhash_dedup, op9_quality_outliers, op10_best_fit_packing)
+    f.__name__: f for f in (op1_crf_language, op2_suffix_dedup, op3_chat_format, op4_simhash_decontamination, op5_main_text, op6_secret_forest, op7_debruijn_dedup, op8_minhash_dedup, op9_quality_outliers, op10_best_fit_packing)
 }
 SQL: dict[str, str] = {}
