@@ -93,19 +93,18 @@ def with_stats(docs: DataFrame, text_col: str = "text", into: str = "s") -> Data
     return step.drop("_dl_w", "_dl_l")
 
 
-def base_failed(s: str = "s") -> Column:
-    return (F.col(f"{s}.n_words") < 50) | (100 * F.col(f"{s}.n_repeat_words") > 50 * F.col(f"{s}.n_words"))
+def base_failed(s: Column) -> Column:
+    return (s["n_words"] < 50) | (100 * s["n_repeat_words"] > 50 * s["n_words"])
 
 
-def vector(s: str = "s") -> list[Column]:
-    """The transformed statistics in whole thousandths."""
-    c = lambda x: F.col(f"{s}.{x}")
-    n = F.greatest(c("n_words"), F.lit(1))
+def vector(s: Column) -> list[Column]:
+    """The transformed statistics of a struct, in whole thousandths."""
+    n = F.greatest(s["n_words"], F.lit(1))
     forms = (
-        F.log(F.greatest(c("word_chars"), F.lit(1)) / n),
-        F.log(1 + 20 * c("n_symbols") / n),
-        c("n_dup_lines") / (c("n_lines") + 10),
-        c("n_repeat_words") / n,
+        F.log(F.greatest(s["word_chars"], F.lit(1)) / n),
+        F.log(1 + 20 * s["n_symbols"] / n),
+        s["n_dup_lines"] / (s["n_lines"] + 10),
+        s["n_repeat_words"] / n,
     )
     return [F.round(1000 * f).cast("long").alias(d) for f, d in zip(forms, DIMS)]
 
@@ -114,15 +113,21 @@ def _keys(lang: str, source: str) -> list[Column]:
     return [F.coalesce(F.col(lang), F.lit("\x00")).alias("_dl_lang"), F.coalesce(F.col(source), F.lit("\x00")).alias("_dl_source")]
 
 
-def _distance(cols: tuple[str, ...] = DIMS) -> Column:
-    """Squared distance by forward substitution with the Cholesky factor in columns l_i_j and means m_i."""
-    y: list[Column] = []
-    for i, d in enumerate(cols):
-        rest = F.col(d) - F.col(f"m_{i}")
+def _distance(v: list[Column]) -> Column:
+    """Squared distance by forward substitution with the Cholesky factor in columns l_i_j and means m_i.
+
+    Each solved coordinate is named by the lambda of a one-element array: used several times, computed once.
+    """
+
+    def solve(i: int, y: list[Column]) -> Column:
+        if i == len(v):
+            return sum((x * x for x in y[1:]), y[0] * y[0])
+        rest = v[i] - F.col(f"m_{i}")
         for j in range(i):
             rest = rest - F.col(f"l_{i}_{j}") * y[j]
-        y.append(rest / F.col(f"l_{i}_{i}"))
-    return sum((v * v for v in y[1:]), y[0] * y[0])
+        return F.transform(F.array(rest / F.col(f"l_{i}_{i}")), lambda x: solve(i + 1, [*y, x]))[0]
+
+    return solve(0, [])
 
 
 def _factor(params: DataFrame) -> DataFrame:
@@ -142,7 +147,7 @@ def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[D
 
     stats: lang, source and the struct s of every document, read several times over: give a written table.
     """
-    base = stats.filter(~base_failed()).select(*_keys(lang, source), *vector())
+    base = stats.filter(~base_failed(F.col("s"))).select(*_keys(lang, source), *vector(F.col("s")))
     pooled = F.when(F.col("n") >= MIN_GROUP, F.col("_dl_source")).otherwise("\x01")
     groups = materialize(base.groupBy("_dl_lang", "_dl_source").agg(F.count("*").alias("n")).withColumn("_dl_group", pooled).drop("n"))
     rows = materialize(base.join(groups, ["_dl_lang", "_dl_source"]).drop("_dl_source"))
@@ -156,7 +161,7 @@ def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[D
     factor = consistency(COVERED)
     for _ in range(STEPS):
         # Distances on a logarithmic scale of 64 steps a power of e: a bounded number of distinct values a group.
-        far = rows.join(model, by).select(*by, *DIMS, F.floor(64 * F.log(_distance() + 1e-3)).alias("_d"))
+        far = rows.join(model, by).select(*by, *DIMS, F.floor(64 * F.log(_distance([F.col(d) for d in DIMS]) + 1e-3)).alias("_d"))
         edge = far.groupBy(*by).agg(F.percentile("_d", F.lit(COVERED)).alias("_edge"))
         near = far.join(edge, by).filter(F.col("_d") <= F.col("_edge"))
         sums = near.groupBy(*by).agg(
@@ -176,12 +181,17 @@ def score(stats: DataFrame, groups: DataFrame, model: DataFrame, lang: str = "la
     """Add base_failed, distance (null if the base rules failed) and kept to rows with the struct s."""
     keys = _keys(lang, source)
     joined = stats.withColumns({"_dl_lang": keys[0], "_dl_source": keys[1]}).join(groups, ["_dl_lang", "_dl_source"], "left").join(model, ["_dl_lang", "_dl_group"], "left")
-    v = vector()
-    joined = joined.withColumn("base_failed", base_failed()).withColumns({f"_dl_{d}": c for d, c in zip(DIMS, v)})
-    distance = F.when(~F.col("base_failed"), F.round(_distance(tuple(f"_dl_{d}" for d in DIMS)), 6))
-    out = joined.withColumn("distance", distance)
-    kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= chi2_quantile(tail), F.lit(True))
-    return out.withColumn("kept", kept).select(*stats.columns, "base_failed", "distance", "kept")
+    edge = chi2_quantile(tail)
+
+    def verdict(x: Column) -> Column:
+        failed = base_failed(x)
+        far = F.when(~failed, F.transform(F.array(F.struct(*vector(x))), lambda v: _distance([v[d] for d in DIMS]))[0])
+        return F.transform(F.array(F.round(far, 6)), lambda d: F.struct(failed.alias("base_failed"), d.alias("distance"), (~failed & F.coalesce(d <= edge, F.lit(True))).alias("kept")))[0]
+
+    # The lambda names the statistics: texts are gone through once, however often a verdict looks at them.
+    both = F.transform(F.array("s"), lambda x: F.struct(x.alias("s"), verdict(x).alias("v")))[0]
+    judged = joined.withColumn("_dl_v", both)
+    return judged.select(*(F.col("_dl_v.s").alias(c) if c == "s" else F.col(c) for c in stats.columns), "_dl_v.v.base_failed", "_dl_v.v.distance", "_dl_v.v.kept")
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
