@@ -4,8 +4,8 @@ Candidates are words that look like credentials by themselves (a known prefix, o
 digits among them), or that follow a telling word and an assignment. Each gets features: length, character
 transitions, share of dictionary pieces, path marks, neighbouring words. A small random forest, trained on the
 driver from a bounded table of labelled findings (`MOST_FINDINGS`; by default one made from rules, the same every
-time), removes false positives. Its trees are compiled to column expressions, so scoring stays in DataFrames: no
-Python runs on executors.
+time), removes false positives. Its trees are laid out as constant arrays that column expressions walk down, so scoring stays in
+DataFrames: no Python runs on executors.
 
 Null and empty texts have no findings; repeated rows are scanned each for itself; an empty table gives no rows;
 other columns pass through `redact`.
@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import materialize, words
 
 MOST_FINDINGS = 6000
 MASK = "[SECRET]"
@@ -143,10 +143,35 @@ def train(spark: SparkSession, findings: list[tuple[str, str, str, int]] | None
     return forest
 
 
-def _vote(tree: tuple) -> Column:
-    if len(tree) == 1:
-        return F.lit(tree[0])
-    return F.when(F.col(f"f.{FEATURES[tree[0]]}") <= tree[1], _vote(tree[2])).otherwise(_vote(tree[3]))
+def _nodes(tree: tuple, out: list[tuple]) -> int:
+    """Lay a tree out as rows (feature, threshold, left, right, share); leaves have feature -1. Index of its root."""
+    at = len(out)
+    out.append((-1, 0.0, at, at, tree[0]) if len(tree) == 1 else None)
+    if len(tree) > 1:
+        left, right = _nodes(tree[2], out), _nodes(tree[3], out)
+        out[at] = (tree[0], tree[1], left, right, 0.0)
+    return at
+
+
+def _score(forest: list[tuple], x: Column) -> Column:
+    """Mean share of true findings over the leaves that the features (an array) reach. The forest is a constant, not code."""
+    rows: list[tuple] = []
+    roots = [_nodes(t, rows) for t in forest]
+    depth = 1 + max(_depth(t) for t in forest)
+    columns = [F.array(*(F.lit(r[i]) for r in rows)) for i in range(5)]
+    feature, edge, left, right, share = columns
+
+    def step(at: Column, _: Column) -> Column:
+        f = F.get(feature, at)
+        return F.when(f < 0, at).when(F.get(x, F.greatest(f, F.lit(0))) <= F.get(edge, at), F.get(left, at)).otherwise(F.get(right, at))
+
+    levels = F.array(*(F.lit(i) for i in range(depth)))
+    reached = F.transform(F.array(*(F.lit(r) for r in roots)), lambda root: F.get(share, F.aggregate(levels, root, step)))
+    return F.aggregate(reached, F.lit(0.0), lambda acc, v: acc + v) / len(forest)
+
+
+def _depth(tree: tuple) -> int:
+    return 0 if len(tree) == 1 else 1 + max(_depth(tree[2]), _depth(tree[3]))
 
 
 def findings(docs: DataFrame, forest: list[tuple], id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -161,10 +186,8 @@ def findings(docs: DataFrame, forest: list[tuple], id_col: str = "doc_id", text_
 
 def _judged(rows: DataFrame, forest: list[tuple], threshold: float) -> DataFrame:
     made = features(F.col("c.value"), F.col("c.word"), F.col("c.before"))
-    rows = rows.withColumn("f", F.struct(*(v.alias(k) for k, v in made.items())))
-    votes = rows.select("*", *(_vote(t).alias(f"_t{i}") for i, t in enumerate(forest)))
-    score = sum((F.col(f"_t{i}") for i in range(1, len(forest))), F.col("_t0")) / len(forest)
-    return votes.withColumn("score", F.round(score, 6)).withColumn("is_secret", F.col("score") >= threshold)
+    score = F.transform(F.array(F.array(*(made[k] for k in FEATURES))), lambda x: _score(forest, x))[0]
+    return rows.withColumn("score", F.round(score, 6)).withColumn("is_secret", F.col("score") >= threshold)
 
 
 def redact(docs: DataFrame, forest: list[tuple], id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -178,8 +201,6 @@ def redact(docs: DataFrame, forest: list[tuple], id_col: str = "doc_id", text_co
     hits = _judged(rows, forest, threshold).filter("is_secret").select("_dl_id", F.col("c.value").alias("v")).distinct()
     # Longer values first: one may lie within another.
     per = hits.groupBy("_dl_id").agg(F.reverse(F.array_sort(F.collect_list(F.struct(F.length("v").alias("n"), F.col("v").alias("v"))))).alias("_dl_hits"))
-    from .common import materialize
-
     joined = docs.join(materialize(per), docs[id_col] == F.col("_dl_id"), "left")
     masked = F.aggregate("_dl_hits", F.col(text_col), lambda text, h: F.replace(text, h["v"], F.lit(MASK)))
     return joined.select(*(F.when(F.col("_dl_hits").isNull(), F.col(c)).otherwise(masked).alias(c) if c == text_col else F.col(c) for c in docs.columns))
