@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 #: Characters that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_SPACE = " \t\n\x0b\x0c\r"
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,7 +33,13 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage ends, lost executors lose nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/deltaloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # Shuffle files of what is written go at once, not when the driver happens to collect its garbage.
+    was = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, was)
     out = spark.read.schema(df.schema).parquet(path)
     out._deltaloom_path = path  # noqa: SLF001
     return out
