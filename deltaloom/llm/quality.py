@@ -109,6 +109,14 @@ def vector(s: Column) -> list[Column]:
     return [F.round(1000 * f).cast("long").alias(d) for f, d in zip(forms, DIMS)]
 
 
+#: Tables with a row for each group are broadcast up to this many rows, else joined by a shuffle.
+BROADCAST_GROUPS = 50_000
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_GROUPS else df
+
+
 def _keys(lang: str, source: str) -> list[Column]:
     return [F.coalesce(F.col(lang), F.lit("\x00")).alias("_dl_lang"), F.coalesce(F.col(source), F.lit("\x00")).alias("_dl_source")]
 
@@ -142,18 +150,19 @@ def _factor(params: DataFrame) -> DataFrame:
     return params.select("_dl_lang", "_dl_group", *(f"m_{i}" for i in range(p)), *(f"l_{i}_{j}" for i in range(p) for j in range(i + 1)))
 
 
-def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[DataFrame, DataFrame]:
-    """(groups, model): which group each language and source belongs to, and each group's mean and Cholesky factor.
+def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[DataFrame, DataFrame, int]:
+    """(groups, model, n): which group each language and source belongs to, each group's mean and Cholesky factor, rows of groups.
 
     stats: lang, source and the struct s of every document, read several times over: give a written table.
     """
     base = stats.filter(~base_failed(F.col("s"))).select(*_keys(lang, source), *vector(F.col("s")))
     pooled = F.when(F.col("n") >= MIN_GROUP, F.col("_dl_source")).otherwise("\x01")
     groups = materialize(base.groupBy("_dl_lang", "_dl_source").agg(F.count("*").alias("n")).withColumn("_dl_group", pooled).drop("n"))
-    rows = materialize(base.join(groups, ["_dl_lang", "_dl_source"]).drop("_dl_source"))
+    n_groups = groups.count()
+    rows = materialize(base.join(_small(groups, n_groups), ["_dl_lang", "_dl_source"]).drop("_dl_source"))
     by = ["_dl_lang", "_dl_group"]
     middle = rows.groupBy(*by).agg(*(F.percentile(d, F.lit(0.5)).alias(f"m_{i}") for i, d in enumerate(DIMS)))
-    away = rows.join(middle, by).groupBy(*by).agg(
+    away = rows.join(_small(middle, n_groups), by).groupBy(*by).agg(
         *(F.first(f"m_{i}").alias(f"m_{i}") for i in range(len(DIMS))), *(F.percentile(F.abs(F.col(d) - F.col(f"m_{i}")), F.lit(0.5)).alias(f"a_{i}") for i, d in enumerate(DIMS))
     )
     start = away.withColumns({f"c_{i}_{j}": F.pow(1.4826 * F.col(f"a_{i}"), 2) if i == j else F.lit(0.0) for i in range(len(DIMS)) for j in range(i + 1)})
@@ -161,9 +170,9 @@ def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[D
     factor = consistency(COVERED)
     for _ in range(STEPS):
         # Distances on a logarithmic scale of 64 steps a power of e: a bounded number of distinct values a group.
-        far = rows.join(model, by).select(*by, *DIMS, F.floor(64 * F.log(_distance([F.col(d) for d in DIMS]) + 1e-3)).alias("_d"))
+        far = rows.join(_small(model, n_groups), by).select(*by, *DIMS, F.floor(64 * F.log(_distance([F.col(d) for d in DIMS]) + 1e-3)).alias("_d"))
         edge = far.groupBy(*by).agg(F.percentile("_d", F.lit(COVERED)).alias("_edge"))
-        near = far.join(edge, by).filter(F.col("_d") <= F.col("_edge"))
+        near = far.join(_small(edge, n_groups), by).filter(F.col("_d") <= F.col("_edge"))
         sums = near.groupBy(*by).agg(
             F.count("*").alias("n"), *(F.sum(d).alias(f"s_{i}") for i, d in enumerate(DIMS)),
             *(F.sum(F.col(DIMS[i]) * F.col(DIMS[j])).alias(f"p_{i}_{j}") for i in range(len(DIMS)) for j in range(i + 1)),
@@ -174,13 +183,13 @@ def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[D
         was, model = model, materialize(_factor(cov))
         release(was)
     release(rows)
-    return groups, model
+    return groups, model, n_groups
 
 
-def score(stats: DataFrame, groups: DataFrame, model: DataFrame, lang: str = "lang", source: str = "source", tail: float = TAIL) -> DataFrame:
+def score(stats: DataFrame, groups: DataFrame, model: DataFrame, n_groups: int, lang: str = "lang", source: str = "source", tail: float = TAIL) -> DataFrame:
     """Add base_failed, distance (null if the base rules failed) and kept to rows with the struct s."""
     keys = _keys(lang, source)
-    joined = stats.withColumns({"_dl_lang": keys[0], "_dl_source": keys[1]}).join(groups, ["_dl_lang", "_dl_source"], "left").join(model, ["_dl_lang", "_dl_group"], "left")
+    joined = stats.withColumns({"_dl_lang": keys[0], "_dl_source": keys[1]}).join(_small(groups, n_groups), ["_dl_lang", "_dl_source"], "left").join(_small(model, n_groups), ["_dl_lang", "_dl_group"], "left")
     edge = chi2_quantile(tail)
 
     def verdict(x: Column) -> Column:
@@ -197,15 +206,15 @@ def score(stats: DataFrame, groups: DataFrame, model: DataFrame, lang: str = "la
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance of every document."""
     stats = materialize(with_stats(docs.select(id_col, text_col, lang, source), text_col).drop(text_col))
-    groups, model = fit(stats, lang, source)
-    out = score(stats, groups, model, lang, source)
+    groups, model, n = fit(stats, lang, source)
+    out = score(stats, groups, model, n, lang, source)
     return out.select(id_col, *(f"s.{x}" for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), "base_failed", "kept", "distance")
 
 
 def screen(docs: DataFrame, text_col: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The documents that pass, with all their columns. The second pass computes the statistics again rather than shuffle the texts."""
     stats = materialize(with_stats(docs.select(text_col, lang, source), text_col).drop(text_col))
-    groups, model = fit(stats, lang, source)
+    groups, model, n = fit(stats, lang, source)
     row = docs.select(F.struct("*").alias("_dl_row"), F.col(text_col).alias("_dl_text"), F.col(lang).alias("_dl_by_lang"), F.col(source).alias("_dl_by_source"))
-    judged = score(with_stats(row, "_dl_text").drop("_dl_text"), groups, model, "_dl_by_lang", "_dl_by_source")
+    judged = score(with_stats(row, "_dl_text").drop("_dl_text"), groups, model, n, "_dl_by_lang", "_dl_by_source")
     return judged.filter("kept").select("_dl_row.*")
