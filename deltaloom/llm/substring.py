@@ -29,7 +29,7 @@ from .repeats import Kind, edges, merged, removals
 from .suffix import SEPARATOR, permuted_prefixes, suffix_array
 
 SHARD_PATHS = 5000
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 
 
 def _shard_firsts(content: list[bytes], ids: np.ndarray, starts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
