@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import materialize, release
@@ -21,7 +21,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
         out = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return out.filter("a <> b").distinct()
+    out = out.filter("a <> b")
+    return out if large else out.distinct()
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -32,9 +33,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     now = materialize(edges.select("a", "b").filter("a <> b").distinct())
     state = None
     for _ in range(most_rounds):
-        was, now = now, materialize(_star(_star(now, True), False))
+        seen = Observation()
+        was, now = now, materialize(_star(_star(now, True), False).observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")))
         release(was)
-        r = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+        r = seen.get
         if state == (r["n"], r["h"]):
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         state = (r["n"], r["h"])

@@ -28,6 +28,8 @@ def _texts():
         chain = chain[:]
         chain[20 + 25 * k] = f"edit{k}"
         texts.append(" ".join(chain))
+    shared = say(70)  # a passage that makes texts similar, but not enough
+    texts += [f"{shared} {say(12)}" for _ in range(8)] + [f"{shared} same end of two" for _ in range(2)] + [f"{shared} same end of all {say(2)}"]
     texts += [say(r.randint(1, 120)).capitalize() for _ in range(40)] + [f"line one\n{say(60)}\nline one\n", "é ü\x0bß ñ " * 30]
     return texts
 
@@ -85,7 +87,10 @@ def _set(text, k):
     return set(zip(*(w[j:] for j in range(k)))) if len(w) >= k else {tuple(w)} if w else set()
 
 
-def test_near_duplicates(docs, none, texts):
+@pytest.mark.parametrize("small", [48, 2])
+def test_near_duplicates(docs, none, texts, monkeypatch, small):
+    """By buckets, and by prefixes as for large buckets."""
+    monkeypatch.setattr(minhash, "SMALL", small)
     sets = {i: _set(t, 4) for i, t in texts.items()}
     parent = {i: i for i in texts}
 
