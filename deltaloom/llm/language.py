@@ -92,7 +92,7 @@ class Tokens:
 
 
 def emissions(weights: np.ndarray, per: np.ndarray, pieces: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Score of each label for each word. Pieces weigh by the root of their number, so long words don't outshout their neighbours."""
+    """Score of each label for each word: the sum of the weights of its features."""
     if not len(per):
         return np.zeros((0, weights.shape[1]), np.float32)
     out = weights[per[:, 0]].copy()
