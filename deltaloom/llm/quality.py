@@ -3,8 +3,9 @@
 Every document gets a vector of transformed statistics (mean word length, symbols per word, repeated lines,
 repeated words). For each language and source the minimum-covariance-determinant estimate is fitted by
 concentration steps over all its documents that pass the base rules: from medians and scaled absolute
-deviations, the h = 75 % nearest documents give the next mean and covariance, and so on. A document is
-rejected if its squared Mahalanobis distance exceeds a chi-square quantile.
+deviations, the h = (n + p + 1) / 2 nearest documents give the next mean and covariance, and so on; all documents
+within a chi-square quantile of the last give the estimate. It holds while junk is less than half of a group. A
+document is rejected if its squared Mahalanobis distance exceeds a chi-square quantile.
 
 DataFrame functions only. Vectors are whole thousandths, so sums are exact whatever the order of tasks, and
 quantiles keep a count per distinct value, a bounded number. Groups of fewer than `min_group` documents
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD_SPACE, materialize, release, words
@@ -27,7 +28,10 @@ SYMBOLS = "#*$%&|<>"
 DIMS = ("length", "symbols", "lines", "repeats")
 #: Least standard deviation of each dimension, in thousandths: statistics that are mostly zero have no spread of their own.
 FLOORS = (50, 150, 30, 100)
-COVERED = 0.75
+#: Share of the nearest documents in a concentration step: half is what withstands most junk.
+COVERED = 0.5
+#: Share of normal data within the distance up to which documents count in the last estimate.
+REWEIGHTED = 0.975
 MIN_GROUP = 50
 #: Upper tail of the chi-square distribution beyond which a vector is an outlier.
 TAIL = 1e-6
@@ -150,6 +154,27 @@ def _factor(params: DataFrame) -> DataFrame:
     return params.select("_dl_lang", "_dl_group", *(f"m_{i}" for i in range(p)), *(f"l_{i}_{j}" for i in range(p) for j in range(i + 1)))
 
 
+def _estimate(near: DataFrame, factor: float) -> DataFrame:
+    """Mean and covariance, times the factor, of each group's rows."""
+    sums = near.groupBy("_dl_lang", "_dl_group").agg(
+        F.count("*").alias("n"), *(F.sum(d).alias(f"s_{i}") for i, d in enumerate(DIMS)),
+        *(F.sum(F.col(DIMS[i]) * F.col(DIMS[j])).alias(f"p_{i}_{j}") for i in range(len(DIMS)) for j in range(i + 1)),
+    )
+    n = F.col("n")
+    means = sums.withColumns({f"m_{i}": F.col(f"s_{i}") / n for i in range(len(DIMS))})
+    return means.withColumns({f"c_{i}_{j}": factor * (F.col(f"p_{i}_{j}") / n - F.col(f"m_{i}") * F.col(f"m_{j}")) for i in range(len(DIMS)) for j in range(i + 1)})
+
+
+def _edges(far: DataFrame) -> DataFrame:
+    """Distance _d of the h-th nearest row of each group, h = (n + p + 1) / 2, from the counts of the distinct distances."""
+    by = ["_dl_lang", "_dl_group"]
+    counts = far.groupBy(*by, "_d").agg(F.count("*").alias("n"))
+    within = F.sum("n").over(Window.partitionBy(*by).orderBy("_d"))
+    total = F.sum("n").over(Window.partitionBy(*by))
+    half = F.least(total, F.floor((total + len(DIMS) + 1) * COVERED))
+    return counts.withColumns({"_within": within, "_half": half}).filter("_within >= _half").groupBy(*by).agg(F.min("_d").alias("_edge"))
+
+
 def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[DataFrame, DataFrame, int]:
     """(groups, model, n): which group each language and source belongs to, each group's mean and Cholesky factor, rows of groups.
 
@@ -171,17 +196,13 @@ def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[D
     for _ in range(STEPS):
         # Distances on a logarithmic scale of 64 steps a power of e: a bounded number of distinct values a group.
         far = rows.join(_small(model, n_groups), by).select(*by, *DIMS, F.floor(64 * F.log(_distance([F.col(d) for d in DIMS]) + 1e-3)).alias("_d"))
-        edge = far.groupBy(*by).agg(F.percentile("_d", F.lit(COVERED)).alias("_edge"))
-        near = far.join(_small(edge, n_groups), by).filter(F.col("_d") <= F.col("_edge"))
-        sums = near.groupBy(*by).agg(
-            F.count("*").alias("n"), *(F.sum(d).alias(f"s_{i}") for i, d in enumerate(DIMS)),
-            *(F.sum(F.col(DIMS[i]) * F.col(DIMS[j])).alias(f"p_{i}_{j}") for i in range(len(DIMS)) for j in range(i + 1)),
-        )
-        n = F.col("n")
-        means = sums.withColumns({f"m_{i}": F.col(f"s_{i}") / n for i in range(len(DIMS))})
-        cov = means.withColumns({f"c_{i}_{j}": factor * (F.col(f"p_{i}_{j}") / n - F.col(f"m_{i}") * F.col(f"m_{j}")) for i in range(len(DIMS)) for j in range(i + 1)})
-        was, model = model, materialize(_factor(cov))
+        near = far.join(_small(_edges(far), n_groups), by).filter(F.col("_d") <= F.col("_edge"))
+        was, model = model, materialize(_factor(_estimate(near, factor)))
         release(was)
+    # Half of a group estimates roughly; all that lies within reach of it estimates well, and still takes no junk in.
+    within = rows.join(_small(model, n_groups), by).filter(_distance([F.col(d) for d in DIMS]) <= chi2_quantile(1 - REWEIGHTED))
+    was, model = model, materialize(_factor(_estimate(within, consistency(REWEIGHTED))))
+    release(was)
     release(rows)
     return groups, model, n_groups
 

@@ -157,6 +157,19 @@ def test_outliers_are_rejected(spark):
     assert all(got[i] for i in range(120)) and not any(got[1000 + i] for i in range(10))
 
 
+def test_outliers_are_rejected_in_dirty_sources(spark):
+    r = random.Random(4)
+    say = lambda n: " ".join("".join(r.choice("abcdefg") for _ in range(r.randint(3, 9))) for _ in range(n))
+    rows = []
+    for k, junk in enumerate((60, 80, 90)):  # of 200 documents each
+        for i in range(200):
+            text = say(150) if i >= junk else " ".join(w + ("#" if i % 2 else "###") for w in say(150).split())
+            rows.append((1000 * k + i, text, "en", f"s{k}", i >= junk))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, clean boolean")
+    got = {x["doc_id"]: x["kept"] for x in quality.judge(table).collect()}
+    assert {i for i, kept in got.items() if kept} == {x[0] for x in rows if x[4]}
+
+
 def test_decontamination(spark, docs, none):
     r = random.Random(6)
     words = [f"w{i}" for i in range(900)]
