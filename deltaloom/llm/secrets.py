@@ -1,7 +1,9 @@
 """Secret scans: candidate strings, judged by a random forest.
 
-Candidates are words that look like credentials by themselves (a known prefix, or 16 or more characters with
-digits among them), or that follow a telling word and an assignment. Each gets features: length, character
+Candidates are the parts of words that look like credentials by themselves (a known prefix, or 16 or more characters
+with digits among them), or that follow a telling word and an assignment, or stand as a password in a URL. A word may
+hold several; only words that are e-mail addresses hold none. An assigned value is taken whole: to its closing
+quote, or else to the next comma, semicolon, ampersand or bracket, less repeated marks at its end. Each candidate gets features: length, character
 transitions, share of dictionary pieces, path marks, neighbouring words. A small random forest, trained on the
 driver from a bounded table of labelled findings (`MOST_FINDINGS`; by default one made from rules, the same every
 time), removes false positives. Its trees are laid out as constant arrays that column expressions walk down, so scoring stays in
@@ -14,6 +16,7 @@ other columns pass through `redact`.
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +33,19 @@ SAMPLE = r"(?i)(example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test|fak
 ISSUED = r"(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+|glpat-[A-Za-z0-9_-]{20})"
 #: Pieces of ordinary words and identifiers.
 PIECES = r"(?i)(the|and|ing|tion|ment|able|user|name|file|path|data|test|code|main|java|python|http|www|com|org|net|value|string|number|index|page|image|config|server|client|public|static|class|return|version|release|example|sample|placeholder|password|secret|token|change|your|here|key|mail|host|local|home|src|lib|build|docs|html|json|text|table|column|query|order|product|item|list|with|from|this|that|for|not|are|was|have|will|into|over|under)"
-_VALUE = r"""([A-Za-z0-9+/_.~-]{8,}={0,2})[^A-Za-z0-9]*$"""
+_PLAIN = r"[A-Za-z0-9+/_.~-]"
+_OPEN = lambda p: re.sub(r"\((?!\?)", "(?:", p.replace("(?i)", ""))
+_TOLD = rf"(?<=(?i:{_OPEN(TELLING)}).{{0,3}}[=:]"
+#: Values in a word, each with the text between the one before and itself: issued keys, passwords in URLs, assigned values, plain runs that are no names.
+_VALUES = (
+    rf"""(.*?)({_OPEN(ISSUED)}|(?<=://[^/:@]{{0,64}}:)[^/@]{{4,}}(?=@)|{_TOLD}["'`])[^"'`]{{8,}}(?=["'`])"""
+    rf"""|{_TOLD})(?=[^"'`,;&<>(){{}}\[\]]{{8}})[^"'`,;&<>(){{}}\[\]]*[A-Za-z0-9](?:={{1,2}}|[!#$%^*](?![!#$%^*]))?"""
+    rf"""|(?:(?!{_OPEN(ISSUED)}){_PLAIN}){{8,}}+(?!["']?[=:]{{1,2}}["']?{_PLAIN})(?:={{1,2}}(?!["']?{_PLAIN}))?)"""
+)
+_URL_PASSWORD = r"://[^/:@]*:$"
+_MAIL = r"(?i)^\W*(?:(?:e-?mail|mailto)[:=])?\W*[\w.%+-]+@[\w-]+(?:\.[\w-]+)+(?:[,;<>]+[\w.%+-]+@[\w-]+(?:\.[\w-]+)+)*\W*$"
+#: Stands in for the name when it is a word of its own.
+_NAME = "token="
 
 FEATURES = ("length", "digits", "uppers", "transitions", "distinct", "hexlike", "dictionary", "vowels", "slashes", "dots", "telling", "assigned", "quoted", "sample", "issued", "all_digits")
 
@@ -40,17 +55,32 @@ def _count(text: Column, pattern: str) -> Column:
 
 
 def candidates(w: Column) -> Column:
-    """Array of (i, word, value, before) of the candidate words; before: the three words ahead, joined by spaces."""
+    """Array of (i, word, value, before) of the candidates in each word; word: the text ahead of the value in its word; before: the three words ahead, joined by spaces."""
 
     def look(x: Column, i: Column) -> Column:
-        value = F.regexp_extract(x, _VALUE, 1)
         before = F.concat_ws(" ", F.get(w, i - 3), F.get(w, i - 2), F.get(w, i - 1))
         bare = F.length(x) >= 16
-        maybe = bare & x.rlike(r"\d") & (x.rlike(r"[A-Za-z]") | x.rlike(r"\d{16}")) & (x.rlike(r"[A-Za-z0-9+/_~-]{16}") | x.rlike(ISSUED))
-        told = (F.length(x) >= 8) & (x.rlike(TELLING + r".{0,3}[=:]") | ((x.rlike(r"[0-9]")) & before.rlike(r"[=:]\W*$") & before.rlike(TELLING)))
-        return F.when((maybe | told) & ~x.rlike("@"), F.struct(i.alias("i"), x.alias("word"), F.when(value != "", value).otherwise(x).alias("value"), before.alias("before")))
+        strong = lambda v: v.rlike(ISSUED) | (v.rlike(r"\d") & (v.rlike(r"[A-Za-z]") | v.rlike(r"\d{16}")) & v.rlike(r"[A-Za-z0-9+/_~-]{16}"))
+        after = x.rlike(r"[0-9]") & before.rlike(r"[=:]\W*$") & before.rlike(TELLING)
+        told = (F.length(x) >= 8) & (x.rlike(TELLING + r".{0,3}[=:]") | x.rlike(r"://[^/:@]*:[^/@]{4,}@") | after)
 
-    return F.filter(F.transform(w, look), lambda c: c.isNotNull())
+        def parts(known: Column) -> Column:
+            named = F.when(known, F.concat(F.lit(_NAME), x)).otherwise(x)
+            found = F.arrays_zip(F.regexp_extract_all(named, F.lit(_VALUES), 1).alias("gap"), F.regexp_extract_all(named, F.lit(_VALUES), 2).alias("value"))
+
+            def part(p: Column, k: Column) -> Column:
+                gap = F.when(known & (k == 0), F.substring(p["gap"], len(_NAME) + 1, 1 << 30)).otherwise(p["gap"])
+                url = p["gap"].rlike(_URL_PASSWORD)
+                keep = strong(p["value"]) | url | p["gap"].rlike(TELLING + r".{0,3}[=:]")
+                ahead = F.when(url, F.concat(before, F.lit(" password"))).otherwise(before)
+                return F.when(keep, F.struct(i.alias("i"), gap.alias("word"), p["value"].alias("value"), ahead.alias("before")))
+
+            whole = F.array(F.struct(i.alias("i"), x.alias("word"), x.alias("value"), before.alias("before")))
+            return F.transform(F.array(found), lambda f: F.when(F.size(f) == 0, whole).otherwise(F.filter(F.transform(f, part), lambda c: c.isNotNull())))[0]
+
+        return F.when(((bare & strong(x)) | told) & ~x.rlike(_MAIL), F.transform(F.array(after), parts)[0])
+
+    return F.flatten(F.filter(F.transform(w, look), lambda c: c.isNotNull()))
 
 
 def features(value: Column, word: Column, before: Column) -> dict[str, Column]:
