@@ -124,6 +124,12 @@ class _Events(HTMLParser):
         if not self.stack or self.stack[-1][0] not in RAW:
             self.text.append(data)
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # no section the parser knows: a comment up to the next >, as in browsers
+            return self.parse_bogus_comment(i)
+
     def finish(self) -> list[tuple[str, int, tuple[int, ...], bool, bool]]:
         self.close()
         self.cut()
@@ -140,12 +146,8 @@ def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 def main_blocks(html: str) -> list[str]:
     """Blocks of the main text, in page order."""
     p = _Events()
-    try:
-        p.feed(html)
-        blocks = p.finish()
-    except (AssertionError, ValueError):  # markup declarations that the parser gives up on: keep what came before
-        p.cut()
-        blocks = p.blocks
+    p.feed(html)
+    blocks = p.finish()
     if not blocks:
         return []
     ratio = np.array([len(t) / max(1, tags) for t, tags, *_ in blocks])

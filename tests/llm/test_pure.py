@@ -184,3 +184,8 @@ def test_code_switched_words_are_told_apart():
     t = language.Tokens(np.array([0, len(raw)]), np.frombuffer(raw, np.uint8))
     p, _, _ = language.forward_backward(language.emissions(m.weights, *t.features()), m.moves, t.first)
     assert [m.labels[k] for k in p.argmax(1)] == ["en"] * 6 + ["de"] * 6
+
+
+@pytest.mark.parametrize("bad", ["<![foo[x]]>", "<![x>", "<![ x ]>", "<![>", "<![1]>", "<![endif]>", "<![CDATA[x]]>"])
+def test_text_after_a_malformed_section(bad):
+    assert html.extract_text(f"<p>one {bad} two</p>{bad}<p>three</p>").replace("  ", " ").split("\n") == ["one two", "three"]
