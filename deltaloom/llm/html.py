@@ -2,8 +2,8 @@
 
 The standard library's parser turns a page into events. Block elements cut the stream into lines (the blocks
 of the page); each has a text-to-tag ratio. The ratios, smoothed with a Gaussian, are clustered by a threshold,
-and the clusters above it select content regions: the elements that hold most of the selected text. All blocks
-of a region count, short ones too, but for those inside elements that never hold article text (menus, forms,
+and the clusters above it select content regions: all articles with selected text if together they hold most of it,
+else the element that holds nearly all of it, along with every cluster outside. All blocks of a region count, short ones too, but for those inside elements that never hold article text (menus, forms,
 scripts, ...) or whose class or id names them as such.
 
 Null or empty html, and pages without text, give an empty string; markup errors are read as browsers do, more or
@@ -157,24 +157,26 @@ def main_blocks(html: str) -> list[str]:
     chosen = [i for i, b in enumerate(blocks) if not b[4] and even[i] >= threshold] or [i for i, b in enumerate(blocks) if not b[4]]
     if not chosen:
         return []
-    # The region: the innermost element that holds nearly all of the selected text; an article around the most of it comes first.
+    # The region: the articles, if they hold most of the selected text; else the innermost element that holds nearly all of it, and all selected blocks outside.
     weight: dict[int, int] = {}
     for i in chosen:
         for e in blocks[i][2]:
             weight[e] = weight.get(e, 0) + len(blocks[i][0])
     total = sum(len(blocks[i][0]) for i in chosen)
-    mains = [e for e in weight if p.names[e] in MAIN]
+    # The outermost article or main of each block: ids grow inwards.
+    around = {i: next((e for e in blocks[i][2] if p.names[e] in MAIN), None) for i in chosen}
+    mains = {e for e in around.values() if e is not None}
     regions: set[int] = set()
-    if mains:
-        outer = [e for e in mains if not any(e in b[2] and any(o in b[2] and o < e for o in mains) for b in blocks)]
-        most = max(weight[e] for e in outer)
-        regions = {e for e in outer if 2 * weight[e] >= most}
+    selected: set[int] = set()
+    if 2 * sum(weight[e] for e in mains) > total:
+        regions = mains
     else:
+        selected = set(chosen)
         inside = [e for e, w in weight.items() if w >= 0.8 * total]
         regions = {max(inside)} if inside else set()
         if regions and p.names[next(iter(regions))] in HEADINGS | {"p", "li", "td"} and len(inside) > 1:
             regions = {sorted(inside)[-2]}
-    return [b[0] for b in blocks if not b[4] and (not regions or regions & set(b[2]))]
+    return [b[0] for i, b in enumerate(blocks) if not b[4] and (not regions or i in selected or not regions.isdisjoint(b[2]))]
 
 
 def extract_text(html: str | None) -> str:

@@ -189,3 +189,22 @@ def test_code_switched_words_are_told_apart():
 @pytest.mark.parametrize("bad", ["<![foo[x]]>", "<![x>", "<![ x ]>", "<![>", "<![1]>", "<![endif]>", "<![CDATA[x]]>"])
 def test_text_after_a_malformed_section(bad):
     assert html.extract_text(f"<p>one {bad} two</p>{bad}<p>three</p>").replace("  ", " ").split("\n") == ["one two", "three"]
+
+
+LONG = "This is a sentence of the main text that goes on for quite a while, as those of articles do. " * 4
+
+
+def test_teaser_cards_do_not_replace_the_main_text():
+    page = "".join(f"<article><p>Teaser {i} with some words to read about it</p></article>" for i in range(3))
+    got = html.extract_text(f"<body><div id=content>{''.join(f'<p>{i} {LONG}</p>' for i in range(6))}</div><div>{page}</div></body>")
+    assert all(f"{i} {LONG.strip()}" in got.split("\n") for i in range(6))
+
+
+def test_short_parts_and_siblings_stay():
+    parts = [6, 1, 1]
+    for tag in ("article", "div"):
+        page = "".join(f"<{tag}>{''.join(f'<p>{k} {i} {LONG}</p>' for i in range(n))}</{tag}>" for k, n in enumerate(parts))
+        got = html.extract_text(f"<body>{page}</body>").split("\n")
+        assert got == [f"{k} {i} {LONG.strip()}" for k, n in enumerate(parts) for i in range(n)]
+    page = f"<div>{''.join(f'<p>{i} {LONG}</p>' for i in range(9))}</div><div><p>last {LONG}</p></div>"
+    assert f"last {LONG.strip()}" in html.extract_text(f"<body>{page}</body>").split("\n")
