@@ -40,6 +40,8 @@ NAMED = re.compile(
     r"share|sharing|social|related|recommend\w*|widget|pagination|pager|skip|toolbar|complementary|contentinfo|navigation|search|login|alert)(?:$|[\s_-])",
     re.I,
 )
+#: Names that say what is around a part, not what it is.
+MODIFIED = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|with|without)[_-][^\s_-]+|\S+-by-\S+", re.I)
 SIGMA = 1.5
 _SPACE = re.compile(r"\s+")
 
@@ -52,6 +54,8 @@ class _Events(HTMLParser):
         self.blocks: list[tuple[str, int, tuple[int, ...], bool, bool]] = []
         self.stack: list[tuple[str, int, bool]] = []  # name, id, skipped
         self.names: dict[int, str] = {}
+        self.named: set[int] = set()  # elements whose names say boilerplate
+        self.around: set[int] = set()  # elements around an article or main
         self.open: dict[str, int] = {}
         self.text: list[str] = []
         self.tags = 0
@@ -97,14 +101,20 @@ class _Events(HTMLParser):
             if tag in VOID:
                 return
         skip = bool(self.stack) and self.stack[-1][2] or tag in SKIPPED
+        named = False
         if not skip and tag not in ("html", "body", "article", "main"):
             for k, v in attrs:
-                if v and (k in ("class", "id", "role", "aria-label") and NAMED.search(v) or k == "style" and "display:none" in v.replace(" ", "").lower()) or k == "hidden" or k == "aria-hidden" and v == "true":
+                if v and k == "style" and "display:none" in v.replace(" ", "").lower() or k == "hidden" or k == "aria-hidden" and v == "true":
                     skip = True
-        if skip and tag in INLINE and not (self.stack and self.stack[-1][2]):
-            self.stack.append((f"{tag}", self.made, False))  # inline parts of a block stay with it
-        else:
-            self.stack.append((tag, self.made, skip))
+                elif v and k in ("class", "id", "role", "aria-label") and NAMED.search(MODIFIED.sub("", v)):
+                    named = True
+        if tag in INLINE and not (self.stack and self.stack[-1][2]):
+            skip = named = False  # inline parts of a block stay with it
+        self.stack.append((tag, self.made, skip))
+        if named:
+            self.named.add(self.made)
+        if tag in MAIN and not skip and not any(v and k in ("class", "id", "role", "aria-label") and v != "main" and NAMED.search(MODIFIED.sub("", v)) for k, v in attrs):
+            self.around.update(x[1] for x in self.stack)
         self.names[self.made] = tag
         self.open[tag] = self.open.get(tag, 0) + 1
         self.made += 1
@@ -143,6 +153,15 @@ def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, k)[r:-r] / np.convolve(np.ones_like(ratios), k)[r:-r]
 
 
+def _selected(blocks: list[tuple[str, int, tuple[int, ...], bool, bool]]) -> list[int]:
+    """Places of the blocks whose smoothed ratio is above the threshold; all that are not skipped if none is."""
+    ratio = np.array([len(t) / max(1, tags) for t, tags, *_ in blocks])
+    ratio[[b[4] for b in blocks]] = 0.0
+    even = smooth(ratio)
+    threshold = float(np.std(even)) if len(blocks) > 2 else 0.0
+    return [i for i, b in enumerate(blocks) if not b[4] and even[i] >= threshold] or [i for i, b in enumerate(blocks) if not b[4]]
+
+
 def main_blocks(html: str) -> list[str]:
     """Blocks of the main text, in page order."""
     p = _Events()
@@ -150,11 +169,18 @@ def main_blocks(html: str) -> list[str]:
     blocks = p.finish()
     if not blocks:
         return []
-    ratio = np.array([len(t) / max(1, tags) for t, tags, *_ in blocks])
-    ratio[[b[4] for b in blocks]] = 0.0
-    even = smooth(ratio)
-    threshold = float(np.std(even)) if len(blocks) > 2 else 0.0
-    chosen = [i for i, b in enumerate(blocks) if not b[4] and even[i] >= threshold] or [i for i, b in enumerate(blocks) if not b[4]]
+    # Named elements are skipped, unless an article or main lies in them or, on pages with neither, most of the high-ratio text.
+    skipped = p.named - p.around
+    if skipped and not p.around:
+        held: dict[int, int] = {}
+        high = _selected(blocks)
+        for i in high:
+            for e in skipped.intersection(blocks[i][2]):
+                held[e] = held.get(e, 0) + len(blocks[i][0])
+        skipped -= {e for e, n in held.items() if 2 * n > sum(len(blocks[i][0]) for i in high)}
+    if skipped:
+        blocks = [(*b[:4], b[4] or not skipped.isdisjoint(b[2])) for b in blocks]
+    chosen = _selected(blocks)
     if not chosen:
         return []
     # The region: the articles, if they hold most of the selected text; else the innermost element that holds nearly all of it, and all selected blocks outside.

@@ -208,3 +208,12 @@ def test_short_parts_and_siblings_stay():
         assert got == [f"{k} {i} {LONG.strip()}" for k, n in enumerate(parts) for i in range(n)]
     page = f"<div>{''.join(f'<p>{i} {LONG}</p>' for i in range(9))}</div><div><p>last {LONG}</p></div>"
     assert f"last {LONG.strip()}" in html.extract_text(f"<body>{page}</body>").split("\n")
+
+
+@pytest.mark.parametrize("name", ["site has-sidebar", "content-with-sidebar", "no-sidebar", "layout with-header", "main-content no-comments", "two-col side-by-side", "page sidebar"])
+def test_names_of_wrappers_do_not_skip_the_page(name):
+    text = [f"{i} {LONG.strip()}" for i in range(4)]
+    inner = "".join(f"<p>{x}</p>" for x in text)
+    for body in (f"<article>{inner}</article>", f"<div>{inner}</div>"):
+        got = html.extract_text(f"<body><div class='{name}'>{body}<div class=sidebar><p>{LONG}</p></div></div></body>")
+        assert got.split("\n") == text
