@@ -57,13 +57,13 @@ def image(op: Column) -> Column:
     return F.when(op == "d", F.lit("before")).otherwise(F.lit("after"))
 
 
-def decode(parsed: DataFrame, spec: TableSpec, ts_unit: str = "micros", honor_set: bool = False) -> DataFrame:
-    """Typed rows of one table: seq, op, error, and the columns. A delete decodes its key only.
+def decode(parsed: DataFrame, spec: TableSpec, ts_unit: str = "micros", honor_set: bool = False, route: str | None = None) -> DataFrame:
+    """Typed rows of one table, of the events under its route (by default its name, in any case): seq, op, error, and the columns. A delete decodes its key only.
 
     error names what is wrong, else null: an op that is none, a missing key, a cell that does not fit its type.
     honor_set adds `<c>__set`: the cell was set explicitly, be it to null.
     """
-    rows = parsed.filter((F.lower("table") == spec.name) | F.col("e").isNull())
+    rows = parsed.filter((F.lower("table") == (route or spec.name).lower()) | F.col("e").isNull())
     is_delete = F.col("op") == "d"
 
     def at(c: str) -> Column:

@@ -48,7 +48,7 @@ class Applier:
 
     def _one(self, parsed: DataFrame, route: str, batch_id: int) -> None:
         store = self.stores[route]
-        good, bad = env.check(env.decode(parsed, store.spec, self.source.ts_unit, self.honor_set), self.on_error)
+        good, bad = env.check(env.decode(parsed, store.spec, self.source.ts_unit, self.honor_set, route), self.on_error)
         if bad is not None:
             bad.select("seq", "op", "error").write.mode("overwrite").parquet(f"{self.store_path}/_quarantine/{route}/batch={batch_id}")
         if self.consumer.enable_batch:

@@ -283,3 +283,19 @@ def test_simulator(spark):
     good, _ = env.check(env.decode(env.parse(df), ORDERS))
     net = live_rows(fold_changes(good, "id", ORDERS.values), "id", ORDERS.values)
     assert {r["id"]: (r["user_id"], r["total"]) for r in net.collect()} == _expected(100)
+
+
+@pytest.mark.parametrize("name, route, table", [("orders", "sales_orders", "Sales_Orders"), ("Parts", None, "Parts")])
+def test_registered_table(spark, tmp_path, name, route, table):
+    from pyspark.sql import types as T
+
+    from deltaloom.config import SourceConfig
+    from deltaloom.specs import Registry, TableSpec
+    from deltaloom.streaming.apply import Applier
+
+    registry = Registry().register(TableSpec(name, {"id": T.LongType(), "v": T.StringType()}), route)
+    value = '{"op": "c", "after": {"id": {"value": 1}, "v": {"value": "x"}}, "source": {"table": "%s"}}' % table
+    a = Applier(spark, SourceConfig(path=str(tmp_path / "in")), str(tmp_path / "out"), registry=registry, buckets=1)
+    a.handle_batch(spark.createDataFrame([("t", 1, value)], "topic string, seq long, value string"), 0)
+    (store,) = a.stores.values()
+    assert [(r["id"], r["v"]) for r in store.read().collect()] == [(1, "x")]
