@@ -17,8 +17,13 @@
 
 At a similarity of 0.8, a pair shares no bucket with probability (1 - 0.8^6)^42 = 3e-6.
 
-A text without words has an empty set and is linked with nothing. Null ids are not supported in links (they keep
-their row with a null component); an empty table gives no rows; repeated rows with one id are one document.
+Words and shingles are told apart by 64-bit hashes of a keyed scrambler: two sets of a thousand shingles hold a false
+match with probability 5e-14.
+
+A text without words has an empty set and is linked with nothing. Rows without an id keep their row with a null
+component; an empty table gives no rows; repeated rows of one id are one document. Of different texts
+under one id, the one with the least digest is the one that others are linked with; a row's component is that of the
+smallest id with the row's set.
 """
 
 from __future__ import annotations
@@ -70,6 +75,12 @@ def bands(sig: np.ndarray) -> np.ndarray:
     return acc.view(np.int64)
 
 
+def _digests(h: np.ndarray, cuts: np.ndarray) -> list[bytes | None]:
+    """A digest of each set; none of empty ones."""
+    raw = h.tobytes()
+    return [hashlib.blake2b(raw[8 * a : 8 * z], digest_size=16).digest() if z > a else None for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+
 def _sketch(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """id, n_shingles, digest, bands; no bands where the set is empty."""
 
@@ -81,8 +92,7 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
                 d, h = shingle_sets(w, k)
                 n = np.bincount(d, minlength=part.num_rows)
                 cuts = np.concatenate([[0], np.cumsum(n)])
-                raw = h.tobytes()
-                digest = [hashlib.blake2b(raw[8 * cuts[i] : 8 * cuts[i + 1]], digest_size=16).digest() if n[i] else None for i in range(part.num_rows)]
+                digest = _digests(h, cuts)
                 keys = bands(signatures(d, h, part.num_rows))
                 has = n > 0
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * BANDS)]), pa.int32()), pa.array(keys[has].reshape(-1)))
@@ -92,15 +102,15 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """id and its full set as an array of hashes."""
+    """id, its full set as an array of hashes, digest of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, text_col, 1 << 20):
             d, h = shingle_sets(Words(b.column(1), lower=True), k)
             cuts = np.concatenate([[0], np.cumsum(np.bincount(d, minlength=b.num_rows))])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(h.view(np.int64)))], ["id", "set"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(h.view(np.int64))), pa.array(_digests(h, cuts), pa.binary())], ["id", "set", "digest"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, set array<bigint>")
+    return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, set array<bigint>, digest binary")
 
 
 CENTERS, ROUNDS, SMALL = 4, 1, 48
@@ -145,18 +155,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """id_col, n_shingles, component_id of every row. Links: at least `percent` of the union of two shingle sets is shared."""
     sketch = materialize(_sketch(docs, id_col, text_col, k))
     same = sketch.filter("n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("id").alias("id"))
-    reps = sketch.join(same.select("id", "digest"), ["id", "digest"], "left_semi").dropDuplicates(["id"])
+    reps = sketch.join(same.select("id", "digest"), ["id", "digest"], "left_semi").groupBy("id").agg(F.min(F.struct("digest", "n_shingles", "bands")).alias("r")).select("id", "r.*")
+    reps = materialize(reps)
     rows = reps.select(F.explode("bands").alias("key"), "id", "n_shingles")
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    # Tables of a row for each bucket stand by themselves, so that joins with them can split the rows of a hot one.
+    shared = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
     # Rows of buckets with company: all that is read later.
     crowded = materialize(rows.join(shared, "key"))
     company = crowded.groupBy("id").agg(F.sum("n").alias("company"))
     star = crowded.join(company, "id").groupBy("key").agg(F.max(F.struct("company", (-F.col("id")).alias("m"), "n_shingles")).alias("s"))
-    star = star.select("key", (-F.col("s.m")).alias("a"), F.col("s.n_shingles").alias("na"))
+    star = materialize(star.select("key", (-F.col("s.m")).alias("a"), F.col("s.n_shingles").alias("na")))
     size_fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
     # Texts go through one shuffle, at every size alike.
-    some = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).hint("merge").join(crowded.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
-    sets = materialize(_sets(some, "id", "text", k))
+    some = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).hint("merge").join(crowded.select("id").distinct(), "id", "left_semi")
+    made = _sets(some, "id", "text", k)
+    repeated = not sketch.groupBy("id").agg(F.count("*").alias("c")).filter("c > 1").isEmpty()
+    if repeated:  # the set of the text that stands for the id
+        made = made.join(reps.select("id", "digest"), ["id", "digest"], "left_semi").dropDuplicates(["id"])
+    sets = materialize(made.drop("digest"))
     crowded_rows = crowded.select("key", "id", "n_shingles")
     first = crowded_rows.join(star, "key").filter((F.col("id") != F.col("a")) & size_fits(F.col("na"), F.col("n_shingles")))
     tried = materialize(first.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
@@ -208,6 +224,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without near copies of smaller id, with all their columns."""
-    gone = near_duplicates(docs, id_col, text_col, k, percent).filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_dl_id"))
-    return docs.join(gone, docs[id_col].cast("long") == F.col("_dl_id"), "left_anti")
+    """The documents without near copies of smaller id, with all their columns; of repeated ids one row stays, of the least text."""
+    gone = near_duplicates(docs, id_col, text_col, k, percent).filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_dl_id")).distinct()
+    kept = docs.join(materialize(gone), docs[id_col].cast("long") == F.col("_dl_id"), "left_anti")
+    twice = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("_dl_n")).filter("_dl_n > 1").select(F.col(id_col).alias("_dl_id"))
+    if twice.isEmpty():
+        return kept
+    twice = materialize(twice)
+    order = F.struct(text_col, *(F.to_json(F.struct(c)) for c in docs.columns if c not in (id_col, text_col)))
+    one = kept.join(twice, kept[id_col] == F.col("_dl_id"), "left_semi").groupBy(F.col(id_col).alias("_dl_id")).agg(F.min_by(F.struct(*docs.columns), order).alias("_dl_row")).select("_dl_row.*")
+    return kept.join(twice, kept[id_col] == F.col("_dl_id"), "left_anti").unionByName(one)

@@ -8,6 +8,10 @@ their windows are compared with each other, by the caller's method. Every window
 first occurrence.
 
 Documents that equal an earlier one unit for unit are known as copies by a digest and need no windows of their own.
+
+A document is an id and a text (`sub` is a hash of the text). Repeated rows are one document, and each row gets its
+result. Different texts under one id are documents of their own that come in the order of `sub`. Rows without an
+id keep their text, and nothing is removed on their account.
 """
 
 from __future__ import annotations
@@ -34,6 +38,10 @@ class Kind:
     k: int
     g: int
 
+    def __post_init__(self) -> None:
+        if not 0 < self.g <= self.k or self.width > 128:
+            raise ValueError("grams must be shorter than windows, by 127 units at most")
+
     @property
     def width(self) -> int:
         return self.k - self.g + 1
@@ -48,7 +56,6 @@ class Units:
             w = Words(col)
             self.bytes, self.off, self.start, self.end = w.bytes, w.off, w.start, w.end
             self.first, self.n = w.first, len(w.hash)
-            self.unit_hash = w.hash
             n = max(self.n - kind.g + 1, 0)
             acc = np.zeros(n, np.uint64)
             for j in range(kind.g):
@@ -64,9 +71,9 @@ class Units:
 
     def digests(self) -> list[bytes]:
         """A digest of each document's units."""
-        raw = self.unit_hash.tobytes() if self.kind.words else self.bytes.tobytes()
-        size = 8 if self.kind.words else 1
-        return [hashlib.blake2b(raw[size * a : size * b], digest_size=16).digest() for a, b in zip(self.first[:-1].tolist(), self.first[1:].tolist())]
+        raw = self.bytes.tobytes()
+        texts = (raw[a:b] for a, b in zip(self.off[:-1].tolist(), self.off[1:].tolist()))
+        return [hashlib.blake2b(b" ".join(t.split()) if self.kind.words else t, digest_size=16).digest() for t in texts]
 
     def paths(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(minimizer, first window, windows) of every path; windows never cross documents."""
@@ -104,33 +111,34 @@ class Units:
 
 
 PIECE = 1 << 20
+SPANS = "array<struct<a:bigint,b:bigint>>"
 
 
 def _digest_pass(docs: DataFrame, kind: Kind) -> DataFrame:
-    """id, n_units, digest, marks (minimizers of its paths) of each document."""
+    """id, sub, n_units, digest, marks (minimizers of its paths) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", PIECE):
-            u = Units(b.column(1), kind)
+            u = Units(b.column(2), kind)
             marks, first, _ = u.paths()
             cuts = np.searchsorted(first, u.first)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.diff(u.first).astype(np.int64)), pa.array(u.digests(), pa.binary()), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(marks))],
-                ["id", "n_units", "digest", "marks"],
+                [b.column(0), b.column(1), pa.array(np.diff(u.first).astype(np.int64)), pa.array(u.digests(), pa.binary()), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(marks))],
+                ["id", "sub", "n_units", "digest", "marks"],
             )
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n_units long, digest binary, marks array<bigint>")
+    return docs.mapInArrow(run, "id long, sub long, n_units long, digest binary, marks array<bigint>")
 
 
 def _path_pass(docs: DataFrame, kind: Kind) -> DataFrame:
-    """Paths of each document whose minimizer is in its list `marks`: x1, x2 (digest of the content), mark, id, start, n, content."""
+    """Paths of each document whose minimizer is in its list `marks`: x1, x2 (digest of the content), mark, id, sub, start, n, content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", PIECE):
-            u = Units(b.column(1), kind)
+            u = Units(b.column(2), kind)
             marks, first, n = u.paths()
             doc = u.doc[first] if len(first) else np.zeros(0, np.int64)
-            lists = b.column(2)
+            lists = b.column(3)
             cuts = np.asarray(lists.offsets)
             known = np.asarray(lists.values)[cuts[0] : cuts[-1]]
             owner = np.repeat(np.arange(b.num_rows), np.diff(cuts))
@@ -139,72 +147,73 @@ def _path_pass(docs: DataFrame, kind: Kind) -> DataFrame:
             marks, first, n, doc = marks[keep], first[keep], n[keep], doc[keep]
             content = u.content(first, n)
             x = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, content)), ">i8").reshape(-1, 2).astype(np.int64)
+            at = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(marks), b.column(0).take(pa.array(doc)), pa.array(first - u.first[doc]), pa.array(n.astype(np.int32)), pa.array(content, pa.binary())],
-                ["x1", "x2", "mark", "id", "start", "n", "content"],
+                [pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(marks), b.column(0).take(at), b.column(1).take(at), pa.array(first - u.first[doc]), pa.array(n.astype(np.int32)), pa.array(content, pa.binary())],
+                ["x1", "x2", "mark", "id", "sub", "start", "n", "content"],
             )
 
-    return docs.select("id", "text", "marks").mapInArrow(run, "x1 long, x2 long, mark long, id long, start long, n int, content binary")
+    return docs.select("id", "sub", "text", "marks").mapInArrow(run, "x1 long, x2 long, mark long, id long, sub long, start long, n int, content binary")
 
 
-def edges(paths: DataFrame, kind: Kind) -> DataFrame:
-    """Windows of distinct paths as hashed edges, the first coordinates of equal ones joined back: x1, x2, t, id0, pos0."""
+def removals(src: DataFrame, kind: Kind, compare: Callable[[DataFrame, Kind], DataFrame], same_document: bool) -> DataFrame:
+    """id, sub, copy, spans, one row for each document of src(id, sub, text) that loses something.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 2000):
-                part = b.slice(at, 2000)
-                content, n = part.column(5).to_pylist(), part.column(4).to_numpy()
-                out = []
-                for c, m in zip(content, n.tolist()):
-                    units = c.split(b" ") if kind.words else None
-                    for t in range(m):
-                        out.append(xxhash.xxh3_128_digest(b" ".join(units[t : t + kind.k]) if kind.words else c[t : t + kind.k]))
-                h = np.frombuffer(b"".join(out), ">i8").reshape(-1, 2).astype(np.int64)
-                row = np.repeat(np.arange(len(n)), n)
-                t = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[:, 0]), pa.array(h[:, 1]), part.column(0).take(take), part.column(1).take(take), pa.array(t.astype(np.int32)), part.column(2).take(take), pa.array(part.column(3).to_numpy()[row] + t)],
-                    ["h1", "h2", "x1", "x2", "t", "id", "pos"],
-                )
-
-    made = paths.select("x1", "x2", "id", "start", "n", "content").mapInArrow(run, "h1 long, h2 long, x1 long, x2 long, t int, id long, pos long")
-    made = materialize(made)
-    least = made.groupBy("h1", "h2").agg(F.min(F.struct("id", "pos")).alias("o"))
-    return made.join(least, ["h1", "h2"]).select("x1", "x2", "t", F.col("o.id").alias("id0"), F.col("o.pos").alias("pos0"))
-
-
-def removals(docs: DataFrame, kind: Kind, compare: Callable[[DataFrame, Kind], DataFrame], same_document: bool) -> tuple[DataFrame, DataFrame]:
-    """(copies, removed) for docs(id, text).
-
-    copies: ids of documents that equal an earlier one and have a window or more. removed: id and the list of
-    (from, to) units covered by windows that occur earlier: in a document of smaller id or, with same_document, before in the same one.
-    compare takes the distinct paths that share a minimizer with others (x1, x2, mark, id, start, n, content) and
-    returns, for windows t of them, the first coordinates (x1, x2, t, id0, pos0); it may leave out what is first itself.
+    copy: it equals an earlier one and has a window or more. spans: the (from, to) units covered by windows that
+    occur earlier: in a document of smaller id or, with same_document, before in the same one.
+    compare takes the distinct paths that share a minimizer with others (x1, x2, mark, c: paths of the minimizer, id, sub,
+    start, n, times, content) and returns runs of windows of them, from window t on n of them, with the coordinates of the first occurrence
+    of the first (x1, x2, t, n, id0, sub0, pos0); it may leave out what is first itself.
     """
-    pass1 = materialize(_digest_pass(docs, kind))
+    pass1 = materialize(_digest_pass(src, kind))
     first = pass1.groupBy("digest", "n_units").agg(F.min("id").alias("id"))
-    copies = materialize(pass1.select("id", "digest", "n_units").join(first.select("digest", F.col("id").alias("id0")), "digest").filter(f"id > id0 AND n_units >= {kind.k}").select("id"))
+    copies = pass1.select("id", "sub", "digest", "n_units").join(first.select("digest", F.col("id").alias("id0")), "digest").filter(f"id > id0 AND n_units >= {kind.k}").select("id", "sub").distinct()
+    copies = materialize(copies)
     own = pass1.filter(F.size("marks") > 0).join(first.select("id", "digest"), ["id", "digest"], "left_semi")
     marks = own.select("id", F.explode("marks").alias("mark"))
-    again = marks.groupBy("mark").agg(F.count("*").alias("c")).filter("c > 1").select("mark")
+    # Tables of their own, so that the joins below can split the rows of a hot minimizer.
+    again = materialize(marks.groupBy("mark").agg(F.count("*").alias("c")).filter("c > 1").select("mark"))
     known = materialize(marks.join(again, "mark").groupBy("id").agg(F.collect_set("mark").alias("marks")))
+    unique = pass1.groupBy("id").agg(F.count("*").alias("c")).filter("c > 1").isEmpty()
     release(pass1)
-    paths = materialize(_path_pass(docs.join(known, "id"), kind))
-    once = materialize(paths.groupBy("x1", "x2").agg(F.min(F.struct("id", "start")).alias("o"), F.first("mark").alias("mark"), F.first("n").alias("n"), F.first("content").alias("content"), F.count("*").alias("times")))
-    crowd = once.groupBy("mark").agg(F.count("*").alias("c")).filter("c > 1").select("mark")
-    crowded = once.join(crowd, "mark").select("x1", "x2", "mark", F.col("o.id").alias("id"), F.col("o.start").alias("start"), "n", "content")
-    windows = materialize(compare(crowded, kind))
-    # Per path: where it occurred first, and for windows that occurred earlier in another path, where.
-    moved = windows.groupBy("x1", "x2").agg(F.collect_list(F.struct("t", "id0", "pos0")).alias("moved"))
-    seen = paths.select("x1", "x2", "id", "start", "n").join(once.select("x1", "x2", F.col("o.id").alias("fid"), F.col("o.start").alias("fstart")), ["x1", "x2"]).join(moved, ["x1", "x2"], "left")
-    earlier = lambda i, p, at: (i < F.col("id")) | ((i == F.col("id")) & (p < at)) if same_document else i < F.col("id")
-    whole = earlier(F.col("fid"), F.col("fstart"), F.col("start"))
-    some = F.transform(F.filter(F.col("moved"), lambda m: earlier(m["id0"], m["pos0"], F.col("start") + m["t"])), lambda m: F.struct((F.col("start") + m["t"]).alias("a"), (F.col("start") + m["t"] + kind.k).alias("b")))
-    spans = F.when(whole, F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("n") + kind.k - 1).alias("b")))).otherwise(F.coalesce(some, F.array().cast("array<struct<a:bigint,b:bigint>>")))
-    removed = seen.select("id", spans.alias("s")).filter(F.size("s") > 0).groupBy("id").agg(F.flatten(F.collect_list("s")).alias("spans"))
-    return copies, removed
+    release(again)
+    texts = src.join(known, "id")
+    # Each document once; where no id stands in two rows, the texts need no further sort.
+    paths = materialize(_path_pass(texts if unique else texts.dropDuplicates(["id", "sub"]), kind))
+    release(known)
+    order = F.struct("id", "sub", "start")
+    once = materialize(paths.groupBy("x1", "x2").agg(F.min(order).alias("o"), F.first("mark").alias("mark"), F.first("n").alias("n"), F.first("content").alias("content"), F.count("*").alias("times")))
+    places = materialize(paths.select("x1", "x2", "id", "sub", "start", "n"))
+    release(paths)
+    crowd = materialize(once.groupBy("mark").agg(F.count("*").alias("c")).filter("c > 1"))
+    crowded = once.join(crowd, "mark").select("x1", "x2", "mark", "c", F.col("o.id").alias("id"), F.col("o.sub").alias("sub"), F.col("o.start").alias("start"), "n", "times", "content")
+    windows = compare(crowded, kind)
+    # Per path: where it occurred first, and for runs of windows that occurred earlier in another path, where.
+    moved = windows.groupBy("x1", "x2").agg(F.collect_list(F.struct("t", "n", "id0", "sub0", "pos0")).alias("moved"))
+    said = once.select("x1", "x2", F.col("o.id").alias("fid"), F.col("o.sub").alias("fsub"), F.col("o.start").alias("fstart"), "times").join(moved, ["x1", "x2"], "left")
+    said = materialize(said.filter("times > 1 OR moved IS NOT NULL").drop("times"))
+    release(once)
+    release(crowd)
+    seen = places.join(said, ["x1", "x2"])
+
+    def earlier(i, sub, p, at):
+        """Whether the document i, sub comes before the row's, or p before at in the same one."""
+        before = i < F.col("id")
+        return before | ((i == F.col("id")) & ((sub < F.col("sub")) | ((sub == F.col("sub")) & (p < at)))) if same_document else before
+
+    whole = earlier(F.col("fid"), F.col("fsub"), F.col("fstart"), F.col("start"))
+    some = F.transform(
+        F.filter(F.col("moved"), lambda m: earlier(m["id0"], m["sub0"], m["pos0"], F.col("start") + m["t"])),
+        lambda m: F.struct((F.col("start") + m["t"]).cast("bigint").alias("a"), (F.col("start") + m["t"] + m["n"] + (kind.k - 1)).cast("bigint").alias("b")),
+    )
+    spans = F.when(whole, F.array(F.struct(F.col("start").alias("a"), (F.col("start") + F.col("n") + kind.k - 1).alias("b")))).otherwise(F.coalesce(some, F.array().cast(SPANS)))
+    removed = seen.select("id", "sub", spans.alias("s")).filter(F.size("s") > 0).groupBy("id", "sub").agg(F.flatten(F.collect_list("s")).alias("spans"))
+    out = copies.select("id", "sub", F.lit(True).alias("copy"), F.lit(None).cast(SPANS).alias("spans")).unionByName(removed.select("id", "sub", F.lit(False).alias("copy"), "spans"))
+    # A document may be both: one of two texts under its id that have the same units.
+    out = materialize(out.groupBy("id", "sub").agg(F.max("copy").alias("copy"), F.flatten(F.collect_list("spans")).alias("spans")))
+    for t in (copies, places, said):
+        release(t)
+    return out
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -82,6 +82,73 @@ def test_byte_dedup(docs, none, texts, monkeypatch, shard_paths):
     assert substring.dedup_bytes(none).count() == 0
 
 
+def _morse(n):
+    """Two words of 2^n bytes whose polynomial hashes modulo 2^64 are equal for any odd base, if n is large."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_odd_rows_of_substring_dedup(spark):
+    """Repeated rows, two texts of one id, rows without an id, words that a polynomial hash cannot tell apart."""
+    r = random.Random(12)
+    say = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    base, other, morse = say(60), say(50), _morse(11)
+    few = say(20)
+    rows = [(1, base), (1, base), (1, base), (2, base), (2, base), (3, base), (3, other), (4, other + " end"), (None, base), (None, other), (5, f"{morse[0]} {few}"), (6, f"{morse[1]} {few}"), (7, morse[0]), (8, morse[1])]
+    rows += [(9, f"{base}  {other}"), (9, f"{base} {other}")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((x["doc_id"] or 0, x["n_words"], x["n_removed"]) for x in substring.dedup_words(table).collect()))
+    want = [(0, 50, 0), (0, 60, 0), (1, 60, 0), (1, 60, 0), (1, 60, 0), (2, 60, 60), (2, 60, 60), (3, 50, 0), (3, 60, 60), (4, 51, 50), (5, 21, 0), (6, 21, 20), (7, 1, 0), (8, 1, 0), (9, 110, 110), (9, 110, 110)]
+    assert got == want
+    # Bytes: texts of one id come in the order of their hashes.
+    h = {t: x for t, x in table.select("text", F.xxhash64("text")).distinct().collect()}
+    order = sorted({(i, h[t], t) for i, t in rows if i is not None})
+    seen, cut = set(), {}
+    for i, _, t in order:
+        b = t.encode()
+        cov = bytearray(len(b))
+        for p in range(len(b) - 99):
+            if b[p : p + 100] in seen:
+                cov[p : p + 100] = b"\1" * 100
+            seen.add(b[p : p + 100])
+        cut[i, t] = hashlib.sha256(bytes(x for x, c in zip(b, cov) if not c)).hexdigest()
+    want = sorted(cut.get((i, t), hashlib.sha256(t.encode()).hexdigest()) for i, t in rows)
+    assert sorted(x["kept_sha256"] for x in substring.dedup_bytes(table).collect()) == want
+
+
+def test_unitigs_branch_where_texts_part(spark):
+    """Two documents share a passage and part; the passage is one unitig of its first document."""
+    words = [f"w{i}" for i in range(40)]
+    a, b, c = " ".join(words), " ".join([*words[:25], *(f"b{i}" for i in range(15))]), " ".join([*(f"c{i}" for i in range(5)), *words[5:]])
+    rows = [(x, x, i, 0, 0, 1, t.encode()) for x, (i, t) in enumerate(((1, a), (2, b), (3, c)))]
+    paths = spark.createDataFrame(rows, "x1 long, x2 long, id long, sub long, start long, times long, content binary")
+    got = {(r["id0"], r["pos0"]): r["head"] for r in substring._unitigs(substring._edges(paths, 13)).collect()}
+    # Edges 0 to 12 stand in 1 and 2, edges 5 to 27 in 1 and 3: repeated are 0 to 27, in one path without a branch.
+    assert got == {(1, p): 0 for p in range(28)}
+    d = " ".join([*words[3:20], *(f"d{i}" for i in range(4)), *words[20:36]])
+    e = " ".join([*words[10:24], "z", *(f"d{i}" for i in range(4)), *words[20:30]])
+    f = " ".join([*words[:22], "z", "y"])
+    rows += [(9, 9, 5, 0, 0, 1, e.encode()), (8, 8, 4, 0, 0, 1, d.encode()), (7, 7, 6, 0, 0, 1, f.encode())]
+    both = substring._unitigs(substring._edges(spark.createDataFrame(rows, paths.schema), 13)).collect()
+    texts = {1: a.split(), 2: b.split(), 3: c.split(), 4: d.split(), 5: e.split(), 6: f.split()}
+    edges = defaultdict(list)
+    for i, t in texts.items():
+        for p in range(len(t) - 12):
+            edges[tuple(t[p : p + 13])].append((i, p))
+    again = {x: min(o) for x, o in edges.items() if len(o) > 1}
+    out, into = Counter(x[:-1] for x in again), Counter(x[1:] for x in again)
+    where = {o: x for x, o in again.items()}
+
+    def head(o):
+        while (was := (o[0], o[1] - 1)) in where and out[where[o][:-1]] == into[where[o][:-1]] == 1:
+            o = was
+        return o[1]
+
+    assert {(r["id0"], r["pos0"]): r["head"] for r in both} == {o: head(o) for o in where}
+
+
 def _set(text, k):
     w = re.findall(WORD, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
     return set(zip(*(w[j:] for j in range(k)))) if len(w) >= k else {tuple(w)} if w else set()
@@ -113,6 +180,21 @@ def test_near_duplicates(docs, none, texts, monkeypatch, small):
     assert {r["doc_id"] for r in kept.collect()} == {i for i in texts if root(i) == i}
 
 
+def test_odd_rows_of_near_duplicates(spark):
+    r = random.Random(5)
+    say = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    base, other, morse, few = say(80), say(80), _morse(11), say(3)
+    rows = [(1, base, 1), (1, base, 2), (2, base + " x", 1), (2, base + " x", 1), (3, other, 1), (3, base, 1), (4, "one", 1), (4, None, 1), (5, f"{morse[0]} {few}", 1), (6, f"{morse[1]} {few}", 1), (None, base, 1)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    got = sorted(((x["doc_id"] or 0, x["n_shingles"], x["component_id"]) for x in minhash.near_duplicates(table).collect()), key=str)
+    same = next(c for i, n, c in got if i == 3 and n == 77)
+    assert len(got) == len(rows) and {(i, c) for i, _, c in got if i in (1, 2)} == {(1, 1), (2, 1)} and same in (1, 3)
+    assert {(i, c) for i, _, c in got if i in (4, 5, 6)} == {(4, 4), (5, 5), (6, 6)}
+    kept = minhash.keep_one(table, k=4)
+    assert kept.columns == table.columns
+    assert sorted((x["doc_id"] or 0) for x in kept.collect() if x["doc_id"] != 3) == [0, 1, 4, 5, 6]
+
+
 def test_components_of_chains_and_stars(spark):
     from deltaloom.llm.components import components
 
