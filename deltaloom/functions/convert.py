@@ -31,19 +31,25 @@ def zoned_from_text(value: Column) -> Column:
     return instant_from_text(F.regexp_replace(value, r"\[.+\]$", ""))
 
 
-def cell(variant: Column, path: str, kind: T.DataType, unit: str = "micros") -> Column:
-    """A cell of a variant, unwrapped and converted to its declared type; null if absent, null or not convertible.
+def convert(raw: Column, kind: T.DataType, unit: str = "micros") -> Column:
+    """A variant converted to its declared type; null if absent, null or not convertible.
 
-    Numbers are never read through text: that would pass through a double.
+    Numbers are never read through text: that would pass through a double. In nested structs each field may be a cell again.
     """
     if isinstance(kind, T.TimestampType):
-        number = F.try_variant_get(variant, path, "bigint")
-        text = F.try_variant_get(variant, path, "string")
-        is_number = F.schema_of_variant(F.try_variant_get(variant, path, "variant")).isin("BIGINT", "INT", "SMALLINT", "TINYINT")
-        return F.when(is_number, instant_from_number(number, unit)).otherwise(instant_from_text(text))
+        is_number = F.schema_of_variant(raw).isin("BIGINT", "INT", "SMALLINT", "TINYINT")
+        return F.when(is_number, instant_from_number(F.try_variant_get(raw, "$", "bigint"), unit)).otherwise(instant_from_text(F.try_variant_get(raw, "$", "string")))
     if isinstance(kind, T.TimestampNTZType):
-        return local_from_text(F.try_variant_get(variant, path, "string"))
-    return F.try_variant_get(variant, path, kind.simpleString())
+        return local_from_text(F.try_variant_get(raw, "$", "string"))
+    if isinstance(kind, T.StructType):
+        field = lambda f: F.coalesce(F.try_variant_get(raw, f"$.{f.name}.value", "variant"), F.try_variant_get(raw, f"$.{f.name}", "variant"))
+        return F.when(F.schema_of_variant(raw).startswith("OBJECT"), F.struct(*(convert(field(f), f.dataType, unit).alias(f.name) for f in kind.fields)))
+    return F.try_variant_get(raw, "$", kind.simpleString())
+
+
+def cell(variant: Column, path: str, kind: T.DataType, unit: str = "micros") -> Column:
+    """The cell at a path of a variant, unwrapped and converted."""
+    return convert(F.try_variant_get(variant, path, "variant"), kind, unit)
 
 
 def with_default(value: Column, default: object, kind: T.DataType) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -15,10 +14,12 @@ from ..operators import read
 from ..operators.fold import compose, fold_changes, live_rows
 from ..operators.merge import apply_changes, delete, empty_table
 from ..operators.runs import plan_batches
+from ..shared import shared_dir
 from ..sources import envelope as env
 from ..specs import ORDERS, USERS, default_registry
 from ..streaming.retry import backoff_schedule, retryable_link
 from . import fixtures as fx
+from . import truths
 
 COLS = ["a", "b", "quantity"]
 #: Columns compared, by table.
@@ -124,8 +125,7 @@ def stream_available_now_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Envelopes in four uneven files, one micro-batch each, into a keyed store."""
     from ..streaming.apply import Applier
 
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    work = f"{top.rstrip('/')}/deltaloom-stream-{uuid.uuid4().hex}"
+    work = f"{shared_dir(spark)}/deltaloom-stream-{uuid.uuid4().hex}"
     events = fx.table_envelopes(fx.base(spark, sf, "orders"), "orders").withColumn("part", F.expr("case when seq < 1000003000 then 0 when seq < 2000000000 then 1 when seq < 3000000000 then 2 else 3 end"))
     for k in range(4):
         events.filter(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(f"{work}/in")
@@ -136,7 +136,8 @@ def stream_available_now_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 STATES = [
     ("40001", ""), ("40P01", ""), ("57P01", ""), ("08006", ""), ("23505", ""), ("XX000", "Schema version mismatch for table"), ("XX000", "other"),
-    (None, "Connection is closed"), (None, "connection reset by peer"), (None, "the connection is closed"), (None, ""),
+    (None, "Connection is closed"), (None, "connection reset by peer"), (None, "the connection is closed"), (None, ""), ("XX000", "catalog schema version mismatch seen"), ("XX000", None), ("23505", "Connection is closed"),
+    ("400011", ""), ("XX000", "SCHEMA VERSION MISMATCH"),
 ]
 
 
@@ -177,7 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         envelope_quarantine, stream_available_now_orders, retry_classification, retry_backoff_schedule, read_find_by_id, read_find_all_by_id,
         read_page_sorted, read_count, read_by_example,
     )
-} | {f"{t}_apply_upsert": _upsert(t) for t in fx.SPECS} | {f"{t}_apply_delete": _delete(t) for t in fx.SPECS}
+} | {f"{t}_apply_upsert": _upsert(t) for t in fx.SPECS} | {f"{t}_apply_delete": _delete(t) for t in fx.SPECS} | truths.QUERIES
 
 _EVENTS = """
 log AS (SELECT user_id AS id, event_id AS seq, event_type = 'error' AS dead,
@@ -241,11 +242,12 @@ CASE event_type WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS op
 SELECT error, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 17 = 0 THEN 'unknown op t' ELSE 'cell id does not fit bigint' END AS error
 FROM orders WHERE o_orderkey % 17 = 0 OR o_orderkey % 19 = 0) GROUP BY 1""",
     "stream_available_now_orders": _closed("orders"),
-    "retry_classification": "SELECT * FROM (VALUES (0,true),(1,true),(2,true),(3,true),(4,false),(5,true),(6,false),(7,true),(8,true),(9,false),(10,false)) t(case_id, retryable)",
+    "retry_classification": "SELECT * FROM (VALUES (0,true),(1,true),(2,true),(3,true),(4,false),(5,false),(6,false),(7,true),(8,true),(9,false),(10,false),(11,true),(12,false),(13,true),(14,false),(15,false)) t(case_id, retryable)",
     "retry_backoff_schedule": "SELECT * FROM (VALUES ('profile',0,500),('profile',1,1500),('profile',2,4500),('profile',3,13500),('default',0,200),('default',1,400)) t(config, attempt, wait_ms)",
     "read_find_by_id": f"SELECT {_COLS['orders']} FROM ({_BASE['orders']}) WHERE id = 42",
     "read_find_all_by_id": f"SELECT {_COLS['orders']} FROM ({_BASE['orders']}) WHERE id IN (1, 2, 42, -1)",
     "read_page_sorted": f"SELECT {_COLS['orders']} FROM ({_BASE['orders']}) ORDER BY total DESC, id LIMIT 25 OFFSET 50",
     "read_count": "SELECT count(*) AS n FROM orders",
     "read_by_example": f"SELECT {_COLS['users']} FROM ({_BASE['users']}) WHERE state = 'BUILDING' AND source = 'seed'",
+    **truths.SQL,
 }

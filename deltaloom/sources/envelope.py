@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.convert import cell, with_default
+from ..functions.convert import convert, with_default
 from ..specs import Registry, TableSpec
 
 HEARTBEAT = "debezium-heartbeat"
@@ -23,20 +23,36 @@ class ChangeFormatError(ValueError):
     """An event that cannot be read, under on_error='fail'."""
 
 
-def parse(events: DataFrame) -> DataFrame:
-    """Drop null records, heartbeats and tombstones; add op, table and schema_name. `value` becomes the variant `e`.
+def _once(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a column that is computed once, however often it is used: the optimizer copies no expression out of a generated row."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
+def parse(events: DataFrame, payload: bool = False) -> DataFrame:
+    """Drop null records, heartbeats and tombstones; add op, table and schema_name. `value` becomes the variant `e`, parsed once.
 
     Malformed JSON gives e null and is kept, for validate(); rows without a source (transaction metadata) go.
+    payload: the event stands in the field `payload` of the JSON, as where connectors send their schema along.
     """
+    out = _parsed(events, payload)
+    return out.filter(F.col("e").isNull() | F.col("table").isNotNull())
+
+
+def _parsed(events: DataFrame, payload: bool) -> DataFrame:
     value = F.col("value") if isinstance(events.schema["value"].dataType, T.VariantType) else F.try_parse_json("value")
     kept = events.filter(F.col("value").isNotNull() & ~F.coalesce(F.col("topic"), F.lit("")).contains(HEARTBEAT))
-    out = kept.withColumn("e", value)
-    out = out.withColumns({
-        "op": F.try_variant_get("e", "$.op", "string"),
-        "table": F.try_variant_get("e", "$.source.table", "string"),
-        "schema_name": F.try_variant_get("e", "$.source.schema", "string"),
-    })
-    return out.filter(F.col("e").isNull() | F.col("table").isNotNull())
+    whole = _once(kept, value, "e")
+    if payload:
+        whole = _once(whole.withColumnRenamed("e", "_whole"), F.try_variant_get("_whole", "$.payload", "variant"), "e").drop("_whole")
+    read = F.struct(F.try_variant_get("e", "$.op", "string").alias("op"), F.try_variant_get("e", "$.source.table", "string").alias("table"), F.try_variant_get("e", "$.source.schema", "string").alias("schema_name"))
+    return _once(whole, read, "_h").select(*whole.columns, "_h.*")
+
+
+def transactions(events: DataFrame, payload: bool = False) -> DataFrame:
+    """The transaction metadata among events: seq, id, status (BEGIN or END), event_count, ts_ms."""
+    rows = _parsed(events, payload).filter(F.col("e").isNotNull() & F.col("table").isNull())
+    read = {"id": "string", "status": "string", "event_count": "bigint", "ts_ms": "bigint"}
+    return rows.select("seq", *(F.try_variant_get("e", f"$.{c}", t).alias(c) for c, t in read.items())).filter("status IS NOT NULL")
 
 
 def include(parsed: DataFrame, tables: Iterable[str] = (), schemas: Iterable[str] = ()) -> DataFrame:
@@ -61,33 +77,37 @@ def decode(parsed: DataFrame, spec: TableSpec, ts_unit: str = "micros", honor_se
     """Typed rows of one table, of the events under its route (by default its name, in any case): seq, op, error, and the columns. A delete decodes its key only.
 
     error names what is wrong, else null: an op that is none, a missing key, a cell that does not fit its type.
-    honor_set adds `<c>__set`: the cell was set explicitly, be it to null.
+    honor_set adds `<c>__set`: the cell was set explicitly, be it to null. Each cell is looked up once and converted once.
     """
     rows = parsed.filter((F.lower("table") == (route or spec.name).lower()) | F.col("e").isNull())
     is_delete = F.col("op") == "d"
+    names = list(spec.columns)
 
-    def at(c: str) -> Column:
-        unit = spec.ts_units.get(c, ts_unit)
-        read = lambda img: cell(F.col("e"), f"$.{img}.{c}.value", spec.columns[c], unit)
-        return F.when(is_delete, read("before")).otherwise(read("after")) if c == spec.key else F.when(~is_delete, read("after"))
-
-    def raw(c: str) -> Column:
-        there = F.try_variant_get("e", f"$.after.{c}.value", "variant")
-        if c == spec.key:
-            there = F.when(is_delete, F.try_variant_get("e", f"$.before.{c}.value", "variant")).otherwise(there)
-        return there.isNotNull() & ~F.is_variant_null(there)
+    def raw(i: int, c: str) -> Column:
+        """The cell's value as it stands in the event; null if the cell is, or holds none."""
+        after = F.try_variant_get("e", f"$.after.{c}.value", "variant")
+        if c != spec.key:
+            return F.when(~is_delete, after).alias(f"r{i}")
+        return F.when(is_delete, F.try_variant_get("e", f"$.before.{c}.value", "variant")).otherwise(after).alias(f"r{i}")
 
-    values = rows.select("seq", "op", "e", *(at(c).alias(c) for c in spec.columns))
-    unfit = [F.when((~is_delete if c != spec.key else F.lit(True)) & raw(c) & F.col(c).isNull(), F.lit(f"cell {c} does not fit {spec.columns[c].simpleString()}")) for c in spec.columns]
+    sets = [F.coalesce(F.try_variant_get("e", f"$.after.{c}.set", "boolean"), F.lit(False)).alias(f"{c}__set") for c in spec.values] if honor_set else []
+    found = _once(rows.select("seq", "op", "e"), F.struct(F.col("e").isNotNull().alias("json"), *(raw(i, c) for i, c in enumerate(names)), *sets), "_r").drop("e")
+    typed = _once(found, F.struct(*(convert(F.col(f"_r.r{i}"), spec.columns[c], spec.ts_units.get(c, ts_unit)).alias(f"v{i}") for i, c in enumerate(names))), "_v")
+    there = lambda i: F.col(f"_r.r{i}").isNotNull() & ~F.is_variant_null(F.col(f"_r.r{i}"))
     error = F.coalesce(
-        F.when(F.col("e").isNull(), F.lit("no JSON")),
+        F.when(~F.col("_r.json"), F.lit("no JSON")),
         F.when(F.col("op").isNull() | ~F.col("op").isin(*OPS), F.concat(F.lit("unknown op "), F.coalesce("op", F.lit("null")))),
-        *unfit,
-        F.when(F.col(spec.key).isNull(), F.lit(f"no {spec.key}")),
+        *(F.when(there(i) & F.col(f"_v.v{i}").isNull(), F.lit(f"cell {c} does not fit {spec.columns[c].simpleString()}")) for i, c in enumerate(names)),
+        F.when(F.col(f"_v.v{names.index(spec.key)}").isNull(), F.lit(f"no {spec.key}")),
     )
-    sets = [F.coalesce(F.try_variant_get("e", f"$.after.{c}.set", "boolean"), F.lit(False)).alias(f"{c}__set") for c in spec.values] if honor_set else []
-    cols = [F.when(~is_delete, with_default(F.col(c), spec.null_defaults.get(c), t)).alias(c) if c in spec.null_defaults else F.col(c) for c, t in spec.columns.items()]
-    return values.select("seq", "op", error.alias("error"), *cols, *sets)
+
+    def value(i: int, c: str) -> Column:
+        v = F.col(f"_v.v{i}")
+        return F.when(F.coalesce(~is_delete, F.lit(True)), with_default(v, spec.null_defaults.get(c), spec.columns[c])).alias(c) if c in spec.null_defaults else v.alias(c)
+
+    # What is wrong is worked out once as well: a filter on it would else be a copy of it.
+    told = _once(typed, error, "error")
+    return told.select("seq", "op", "error", *(value(i, c) for i, c in enumerate(names)), *(F.col(f"_r.{c}__set").alias(f"{c}__set") for c in spec.values if honor_set))
 
 
 def check(decoded: DataFrame, on_error: str = "fail") -> tuple[DataFrame, DataFrame | None]:

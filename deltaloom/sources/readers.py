@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 from ..config import SourceConfig
@@ -12,17 +13,39 @@ from ..config import SourceConfig
 ENVELOPE = "topic string, seq long, value string"
 
 
+FILES = ("parquet", "json", "csv", "orc", "text")
+
+
+def as_envelopes(rows: DataFrame) -> DataFrame:
+    """Rows of a message log (topic, partition, offset, value in bytes) as envelopes. seq is the offset: a key's changes stand in one partition, in order."""
+    value = F.col("value").cast("string")
+    return rows.select(F.col("topic").cast("string").alias("topic"), F.col("offset").cast("long").alias("seq"), value.alias("value"))
+
+
+def _wanted(rows: DataFrame, cfg: SourceConfig) -> DataFrame:
+    """Only topics that the lists leave over: a filter on a column of the source, which scans can push down."""
+    pattern = cfg.topic_pattern()
+    return rows.filter(F.col("topic").startswith(f"{cfg.topic_prefix}.") & F.col("topic").rlike(f"^{pattern}$")) if pattern else rows
+
+
+def _shaped(rows: DataFrame, cfg: SourceConfig) -> DataFrame:
+    return _wanted(as_envelopes(rows) if "offset" in rows.columns and "seq" not in rows.columns else rows, cfg)
+
+
 def read_changes(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
     """All changes there are now."""
-    return spark.read.format(cfg.format).schema(ENVELOPE).options(**cfg.connector).load(cfg.path)
+    reader = spark.read.format(cfg.format).options(**{k: v for k, v in cfg.options().items() if not k.startswith("max")})
+    if cfg.format in FILES:
+        reader = reader.schema(ENVELOPE)
+    return _shaped(reader.load(cfg.path) if cfg.path else reader.load(), cfg)
 
 
-def stream_changes(spark: SparkSession, cfg: SourceConfig) -> DataFrame:
+def stream_changes(spark: SparkSession, cfg: SourceConfig, rows: int | None = None) -> DataFrame:
     """Changes as they come; the rate limits of the source hold back what is too much."""
-    reader = spark.readStream.format(cfg.format).options(**cfg.options())
-    if cfg.format in ("parquet", "json", "csv", "orc", "text"):
+    reader = spark.readStream.format(cfg.format).options(**cfg.options(rows))
+    if cfg.format in FILES:
         reader = reader.schema(ENVELOPE)
-    return reader.load(cfg.path) if cfg.path else reader.load()
+    return _shaped(reader.load(cfg.path) if cfg.path else reader.load(), cfg)
 
 
 class _Range(InputPartition):

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import logging
 import time
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import ConsumerConfig, RetryConfig, SourceConfig
-from ..operators.runs import plan_batches
 from ..sources import envelope as env
 from ..sources.readers import stream_changes
 from ..specs import Registry, default_registry
@@ -21,11 +22,15 @@ log = logging.getLogger(__name__)
 
 
 class Applier:
-    """Decode each micro-batch once, then fold and commit it table by table. The checkpoint moves on only when all tables have committed."""
+    """Decode each micro-batch once, then fold and commit it table by table. The checkpoint moves on only when all tables have committed.
+
+    snapshot: route -> rows as they stand at the source (or a function that reads them), taken into tables that have no content
+    yet before the stream goes on, as snapshot_mode says; changes must begin where the snapshot was taken, or earlier.
+    """
 
     def __init__(
         self, spark: SparkSession, source: SourceConfig, store_path: str, *, registry: Registry | None = None, consumer: ConsumerConfig | None = None, retry: RetryConfig | None = None,
-        on_error: str = "fail", honor_set: bool = False, buckets: int = 16,
+        on_error: str = "fail", honor_set: bool = False, buckets: int = 16, snapshot: Mapping[str, DataFrame | Callable[[], DataFrame]] | None = None,
     ) -> None:
         if source.path and source.path.rstrip("/") == store_path.rstrip("/"):
             raise ValueError("source and store must be different paths")
@@ -33,11 +38,38 @@ class Applier:
         self.registry, self.consumer, self.retry = registry or default_registry(), consumer or ConsumerConfig(), retry or RetryConfig()
         self.store_path = store_path.rstrip("/")
         self.stores = {route: KeyedStore(spark, f"{self.store_path}/{route}", spec, buckets, honor_set) for route, spec in self.registry.items()}
+        self.snapshot = {route.lower(): rows for route, rows in (snapshot or {}).items()}
+        if unknown := set(self.snapshot) - set(self.stores):
+            raise ValueError(f"snapshot of unknown tables {sorted(unknown)}")
         self.query: StreamingQuery | None = None
+        self.failure: BaseException | None = None
+
+    def take_snapshot(self) -> list[str]:
+        """Load the snapshot into tables without content, as snapshot_mode says; the routes loaded."""
+        if self.source.snapshot_mode == "never":
+            return []
+        done = []
+        for route, rows in self.snapshot.items():
+            store = self.stores[route]
+            if store.manifest()["version"] < 0:
+                taken = rows() if callable(rows) else rows
+                with_retry(lambda: store.load(taken), self.retry)  # noqa: B023
+                done.append(route)
+        return done
 
     def handle_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Apply one micro-batch; a batch that was applied before changes nothing."""
-        parsed = env.routed(env.include(env.parse(batch), self.source.tables, self.source.schemas), self.registry).persist()
+        try:
+            self._handle(batch, batch_id)
+        except BaseException as e:
+            self.failure = e  # the streaming query only passes its text on
+            raise
+
+    def _handle(self, batch: DataFrame, batch_id: int) -> None:
+        cfg = self.source
+        if cfg.provide_transaction_metadata:
+            env.transactions(batch, cfg.payload).write.mode("overwrite").parquet(f"{self.store_path}/_transactions/batch={batch_id}")
+        parsed = env.routed(env.include(env.parse(batch, cfg.payload), cfg.tables, cfg.schemas), self.registry).persist()
         try:
             # Small tables and large ones commit side by side; Spark shares the executors among them.
             with ThreadPoolExecutor(max_workers=min(4, len(self.stores))) as pool:
@@ -50,21 +82,28 @@ class Applier:
         store = self.stores[route]
         good, bad = env.check(env.decode(parsed, store.spec, self.source.ts_unit, self.honor_set, route), self.on_error)
         if bad is not None:
-            bad.select("seq", "op", "error").write.mode("overwrite").parquet(f"{self.store_path}/_quarantine/{route}/batch={batch_id}")
-        if self.consumer.enable_batch:
-            with_retry(lambda: store.commit(good, batch_id), self.retry)
-        else:
-            self._direct(store, good, batch_id)
+            at = f"{self.store_path}/_quarantine/{route}/batch={batch_id}"
+            bad.select("seq", "op", "error").write.mode("overwrite").parquet(at)
+            self._log_bad(self.spark.read.schema("seq long, op string, error string").parquet(at), route, batch_id)
+        with_retry(lambda: store.commit(good, batch_id), self.retry)
+
+    def _log_bad(self, bad: DataFrame, route: str, batch_id: int) -> None:
+        n = bad.count()
+        if n and self.source.log_error_messages:
+            most = bad.groupBy("error").agg(F.count("*").alias("n"), F.min("seq").alias("seq")).orderBy(F.desc("n"), "error").limit(20).collect()
+            log.warning("%s: %d events of batch %d set aside: %s", route, n, batch_id, "; ".join(f"{r['error']} ({r['n']}, first at {r['seq']})" for r in most))
+        elif n:
+            log.warning("%s: %d events of batch %d set aside", route, n, batch_id)
 
-    def _direct(self, store: KeyedStore, good: DataFrame, batch_id: int) -> None:
-        """Direct mode: run after run, in order. The fold gives the same table in one commit, so runs only bound what is in flight."""
-        planned = plan_batches(good.selectExpr("*", "'t' as table"), self.consumer.batch_size)
-        with_retry(lambda: store.commit(planned.drop("table", "kind", "run_id", "batch_id"), batch_id), self.retry)
+    def trigger(self) -> dict[str, str]:
+        """How often a micro-batch starts: after flush_interval_ms in batch mode; in direct mode as often as the source is polled."""
+        return {"processingTime": f"{self.consumer.flush_interval_ms if self.consumer.enable_batch else self.source.poll_interval_ms} milliseconds"}
 
     def start(self, available_now: bool = False) -> StreamingQuery:
-        writer = stream_changes(self.spark, self.source).writeStream.foreachBatch(self.handle_batch).option("checkpointLocation", self.source.checkpoint or f"{self.store_path}/_checkpoint")
-        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{self.consumer.flush_interval_ms} milliseconds")
-        self.query = writer.start()
+        self.failure = None
+        rows = self.consumer.queue_capacity * len(self.stores) if self.consumer.enable_batch and self.source.max_queue_size else None
+        writer = stream_changes(self.spark, self.source, rows).writeStream.foreachBatch(self.handle_batch).option("checkpointLocation", self.source.checkpoint or f"{self.store_path}/_checkpoint")
+        self.query = writer.trigger(**({"availableNow": True} if available_now else self.trigger())).start()
         return self.query
 
     def drain(self) -> dict:
@@ -85,7 +124,10 @@ class Applier:
             self.query.stop()
 
     def run(self, available_now: bool = True, sleep=time.sleep) -> None:
-        """Run under supervision: restart after failures worth another try, give up after the last."""
+        """Snapshot, then stream under supervision: restart after failures worth another try, give up after the last."""
+        self.take_snapshot()
+        if self.source.snapshot_mode == "initial_only":
+            return
         waits = backoff_schedule(self.retry)
         for wait in [*waits, None]:
             try:
@@ -93,7 +135,8 @@ class Applier:
                 return
             except Exception as e:
                 self.stop()
-                if wait is None or not is_retryable(e):
+                if wait is None or not is_retryable(self.failure or e):
                     log.exception("the change stream stopped")
                     raise
+                log.warning("the change stream starts again in %d ms after %s", wait, self.failure or e)
                 sleep(wait / 1000)

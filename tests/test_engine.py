@@ -19,7 +19,7 @@ from deltaloom.sources import envelope as env
 from deltaloom.sources.readers import ChangeLogSimulator
 from deltaloom.specs import ORDERS, PRODUCTS, TableSpec, default_registry
 from deltaloom.streaming.apply import Applier
-from deltaloom.streaming.retry import TransientConnectionError, backoff_schedule, is_retryable, with_retry
+from deltaloom.streaming.retry import SqlError, TransientConnectionError, backoff_schedule, is_retryable, with_retry
 from deltaloom.streaming.store import CommitConflict, KeyedStore
 
 SPEC = TableSpec("t", {"id": T.LongType(), "a": T.LongType(), "q": T.IntegerType()}, null_defaults={"q": 0})
@@ -86,6 +86,133 @@ def test_runs(spark):
     assert got == [("t", "write", 2, 0), ("t", "write", 1, 2), ("t", "delete", 2, 3), ("t", "write", 2, 5), ("t", "delete", 1, 7), ("u", "delete", 1, 0)]
 
 
+@pytest.mark.parametrize("piece_rows", [1, 7, 40, 1000])
+def test_runs_in_pieces(spark, piece_rows):
+    """Runs that go on over pieces, pieces of one run, and ties of none."""
+    from deltaloom.operators.runs import plan_batches
+
+    r = random.Random(piece_rows)
+    rows = [(t, i * 3 + k, op) for k, t in enumerate("tu") for i, op in enumerate([*("u" * 30), *("d" * 20), *(r.choice("ud") for _ in range(60)), *("u" * 25)])]
+    got = {(x["table"], x["seq"]): (x["run_id"], x["batch_id"]) for x in plan_batches(spark.createDataFrame(rows, "table string, seq long, op string"), 4, piece_rows=piece_rows).collect()}
+    want = {}
+    for t in "tu":
+        run, place, last = 0, 0, None
+        for _, seq, op in sorted(x for x in rows if x[0] == t):
+            run, place = (run, place + 1) if (op == "d") == last else (run + 1, 0)
+            last = op == "d"
+            want[t, seq] = (run, place // 4)
+    assert got == want
+
+
+def test_decode_parses_once(spark):
+    """One parse of the JSON, one look at each cell and one conversion, however the rows are used."""
+    df = spark.createDataFrame([event(after=cells(id=1))], ENV)
+    good, _ = env.check(env.decode(env.parse(df), ORDERS))
+    plan = good.select("id", "quantity", "total").filter("total > 1")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") == 1
+    assert all(plan.count(f"$.after.{c}.value") == 1 for c in ORDERS.columns)
+
+
+def test_sink_statements_in_a_database(spark):
+    """The statements, run by a database on staged net changes, leave what the store leaves; done twice, the same."""
+    import duckdb
+
+    from deltaloom.sources.relational import apply
+
+    spec = TableSpec("t", {"id": T.LongType(), "a": T.LongType(), "q": T.LongType()})
+    con = duckdb.connect()
+    con.execute('CREATE TABLE t (id BIGINT PRIMARY KEY, a BIGINT, q BIGINT); CREATE TABLE t_staging (id BIGINT, a BIGINT, q BIGINT, "reset" BOOLEAN, alive BOOLEAN)')
+
+    def write(net, spec, staging, cfg, batch_rows):
+        con.execute(f"DELETE FROM {staging}")
+        rows = net.select(*spec.columns, "reset", "alive").collect()
+        if rows:
+            con.executemany(f"INSERT INTO {staging} VALUES (?, ?, ?, ?, ?)", [tuple(x) for x in rows])
+
+    def run(statements):
+        for x in statements:
+            con.execute(x)
+
+    rows = log(120, 12, 4)
+    df = spark.createDataFrame(rows, LOG)
+    for lo, hi in ((0, 50), (50, 90), (90, 120), (90, 120)):
+        net = fold_changes(df.filter(f"seq >= {lo} and seq < {hi}"), "id", ["a", "q"])
+        apply(net, spec, JdbcSinkConfig(), run, write=write)
+    assert {i: (a, q) for i, a, q in con.execute("SELECT id, a, q FROM t").fetchall()} == replay(rows)
+
+
+def test_large_buckets_are_written_by_several_tasks(spark, tmp_path):
+    store = KeyedStore(spark, str(tmp_path / "s"), SPEC, 1)
+    was = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        store.write(spark.range(200_000).selectExpr("id", "id * 7919 as a", "cast(1 as int) as q"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", was)
+    (folder,) = set(store.manifest()["parts"].values())
+    assert len(list((tmp_path / "s" / "data" / folder / "b=0").glob("*.parquet"))) > 1
+    assert store.read().count() == 200_000
+
+
+def test_failed_commits_leave_nothing(spark, tmp_path):
+    store = KeyedStore(spark, str(tmp_path / "s"), SPEC, 2)
+    store.write(spark.createDataFrame([(1, 1, 1)], SPEC.schema))
+    with pytest.raises(Exception, match="broken"):
+        store.write(spark.createDataFrame([(2, 1, 1)], SPEC.schema).withColumn("a", F.expr("cast(raise_error('broken') as bigint)")))
+    assert len(list((tmp_path / "s" / "data").iterdir())) == 1 and store.read().count() == 1
+
+
+def test_supervision_gives_up(spark, tmp_path):
+    src = str(tmp_path / "in")
+    _write(spark, src, 0, 10)
+    app = Applier(spark, SourceConfig(path=src), str(tmp_path / "store"), retry=RetryConfig(2, 1, 1.0, 1))
+    tries = []
+
+    def broken(changes, batch_id):
+        tries.append(1)
+        raise SqlError("", "40001" if len(tries) < 3 else "23505")
+
+    app.stores["orders"].commit = broken
+    with pytest.raises(Exception, match="SqlError"):
+        app.run(sleep=lambda s: None)
+    assert len(tries) == 3
+
+
+def test_boot(tmp_path, spark):
+    from deltaloom.__main__ import build, main
+
+    settings = {"store": str(tmp_path / "store"), "source": {"path": str(tmp_path / "in"), "tables": ["orders"]}, "available_now": True, "buckets": 2, "snapshot": {"orders": str(tmp_path / "snap")}}
+    _write(spark, str(tmp_path / "in"), 0, 50)
+    spark.createDataFrame([(1000,)], "id long").selectExpr("id", *(f"cast(null as {t.simpleString()}) as {c}" for c, t in list(ORDERS.columns.items())[1:])).write.parquet(str(tmp_path / "snap"))
+    (tmp_path / "settings.json").write_text(json.dumps(settings))
+    assert main([str(tmp_path / "settings.json")]) == 0
+    app = build(settings, spark)
+    assert _got(app) == {**_expected(50), 1000: (None, None)}
+    assert main([]) == 2
+    for bad in ({"store": "x"}, {**settings, "more": 1}, {**settings, "source": {"paths": "x"}}):
+        with pytest.raises(ConfigError):
+            build(bad, spark)
+
+
+def test_topics_of_lists():
+    import re
+
+    cfg = SourceConfig(topic_prefix="a.b", tables=("orders", "x.users"), schemas=("public", "x"))
+    match = lambda t: bool(re.fullmatch(cfg.topic_pattern(), t))
+    assert [match(t) for t in ("a.b.public.orders", "a.b.x.users", "a.b.public.users", "a.b.y.orders", "aXb.public.orders", "a.b.public.orders2")] == [True, True, False, False, False, False]
+    assert SourceConfig().topic_pattern() is None
+
+
+def test_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from deltaloom.shared import shared_dir
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    with pytest.raises(RuntimeError):
+        shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077")))
+
+
 def event(table="orders", op="u", seq=0, topic="src.public.orders", before=None, after=None, **source):
     return (topic, seq, json.dumps({"op": op, "before": before, "after": after, "source": {"table": table, **source}}))
 
@@ -169,10 +296,37 @@ def test_config():
     assert PRODUCTS.preserving().null_defaults == {}
 
 
-class _Sql(Exception):
-    def __init__(self, state, message=""):
-        super().__init__(message)
-        self.sqlstate = state
+_Sql = lambda state, message="": SqlError(message, state)
+
+
+class _Throwable:
+    """Stands in for a throwable of the JVM."""
+
+    def __init__(self, kinds, message=None, state=None, cause=None):
+        self.kinds, self.message, self.state, self.cause = kinds, message, state, cause
+
+    def getClass(self):
+        return _Class(self.kinds)
+
+    def getMessage(self):
+        return self.message
+
+    def getCause(self):
+        return self.cause
+
+    def getSQLState(self):
+        return self.state
+
+
+class _Class:
+    def __init__(self, kinds):
+        self.kinds = kinds
+
+    def getName(self):
+        return self.kinds[0]
+
+    def getSuperclass(self):
+        return _Class(self.kinds[1:]) if self.kinds[1:] else None
 
 
 def test_retry():
@@ -180,8 +334,17 @@ def test_retry():
     outer = ValueError("outer")
     outer.__cause__ = RuntimeError("middle")
     outer.__cause__.__cause__ = _Sql("40001")
-    assert is_retryable(outer) and is_retryable(TransientConnectionError()) and is_retryable(_Sql("XX000", "Schema Version Mismatch")) and is_retryable(OSError("Connection is closed"))
+    assert is_retryable(outer) and is_retryable(TransientConnectionError()) and is_retryable(_Sql("XX000", "a schema version mismatch")) and is_retryable(_Sql(None, "Connection is closed"))
+    assert not is_retryable(_Sql("XX000", "Schema Version Mismatch")) and not is_retryable(OSError("Connection is closed")) and not is_retryable(ConnectionError())
     assert not is_retryable(_Sql("23505")) and not is_retryable(_Sql("XX000", "other")) and not is_retryable(ValueError())
+    sql = ("java.sql.SQLException", "java.lang.Exception")
+    for throwable, want in (
+        (_Throwable(("org.x.Broken", "java.sql.SQLRecoverableException", *sql)), True), (_Throwable(("java.lang.RuntimeException",), cause=_Throwable(("org.x.SqlError", *sql), "m", "57P01")), True),
+        (_Throwable(sql, "Connection reset by peer"), True), (_Throwable(("java.io.IOException",), "Connection reset by peer", "40001"), False), (_Throwable(sql, "m", "23505"), False),
+    ):
+        e = RuntimeError("from the JVM")
+        e.java_exception = throwable
+        assert is_retryable(e) == want
     tries, waits = [], []
 
     def run():
@@ -191,7 +354,7 @@ def test_retry():
         return "done"
 
     assert with_retry(run, RetryConfig(), waits.append) == "done" and waits == [0.2, 0.4]
-    with pytest.raises(_Sql):
+    with pytest.raises(SqlError):
         with_retry(lambda: (_ for _ in ()).throw(_Sql("23505")), RetryConfig(), waits.append)
 
 
@@ -213,7 +376,7 @@ def test_store(spark, tmp_path):
     assert as_dict(store.read()) == replay(rows)
     with pytest.raises(CommitConflict):
         store._publish(store.manifest())
-    assert store.vacuum(1) and as_dict(store.read()) == replay(rows)
+    assert store.vacuum(1) and not store.vacuum(1) and as_dict(store.read()) == replay(rows)
 
 
 def test_read(spark):
