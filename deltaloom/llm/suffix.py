@@ -1,8 +1,8 @@
 """Suffix arrays by induced sorting, and permuted common prefixes.
 
 The text is an array of small integers that ends in a unique 0. Suffixes are classified S or L; the substrings
-between leftmost S positions are sorted by one induction, named, and, where names repeat, sorted by the same
-method on the string of names; a last induction gives all suffixes. Induction goes bucket by bucket: all entries
+between leftmost S positions are sorted by their letters, named, and, where names repeat, sorted by the same
+method on the string of names; an induction then gives all suffixes. Induction goes bucket by bucket: all entries
 of a bucket that are known at a time are handled in one vector step, so the cost is linear and the steps follow
 the alphabet and the longest run of one letter. Strings of names have large alphabets; those take plain loops.
 """
@@ -126,26 +126,48 @@ def _induce_plain(s: list[int], t: list[bool], k: int, lms: list[int]) -> list[i
     return sa
 
 
-def _names(s: np.ndarray, lms: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, int]:
-    """Names of the LMS substrings in text order, by their order; equal substrings share one. Number of names."""
+def _names(s: np.ndarray, t: np.ndarray, k: int, lms: np.ndarray) -> tuple[np.ndarray, int]:
+    """Names of the LMS substrings in text order, by their order; equal substrings share one. Number of names.
+
+    Letters are compared with their types, so no substring is the beginning of another. As many letters as fit a word are
+    compared at a time, and only where the letters before are equal.
+    """
     n = len(s)
-    nxt = np.append(lms[1:], n - 1)
-    length = np.empty(n, np.int64)
-    length[lms] = nxt - lms + 1
-    a, b = order[:-1], order[1:]
-    differ = length[a] != length[b]
-    live = np.flatnonzero(~differ)
-    d = 0
-    while len(live):
-        x, y = a[live] + d, b[live] + d
-        bad = s[np.minimum(x, n - 1)] != s[np.minimum(y, n - 1)]
-        differ[live[bad]] = True
-        d += 1
-        live = live[~bad & (length[a[live]] > d)]
-    name = np.concatenate([[0], np.cumsum(differ)])
-    out = np.empty(n, np.int64)
-    out[order] = name
-    return out[lms], int(name[-1]) + 1
+    key = 2 * s.astype(np.int64) + t + 1  # 0 stands behind the end
+    bits = int(2 * k + 1).bit_length()
+    step = 62 // bits
+    length = np.append(lms[1:], n - 1) - lms + 1
+
+    def packed(of: np.ndarray, d: int) -> np.ndarray:
+        out = np.zeros(len(of), np.int64)
+        for j in range(d, d + step):
+            out = out << bits | np.where(j < length[of], key[np.minimum(lms[of] + j, n - 1)], 0)
+        return out
+
+    every = np.arange(len(lms))
+    word = packed(every, 0)
+    order = np.argsort(word, kind="stable")
+    word = word[order]
+    new = np.ones(len(lms), bool)
+    new[1:] = word[1:] != word[:-1]
+    d = step
+    while True:
+        group = np.cumsum(new) - 1
+        size = np.bincount(group)
+        slots = np.flatnonzero((size[group] > 1) & (length[order] > d))
+        if not len(slots):
+            break
+        word = packed(order[slots], d)
+        by = np.lexsort((word, group[slots]))
+        order[slots] = order[slots][by]
+        word = word[by]
+        # Slots of a group follow each other, before and after.
+        differ = np.flatnonzero((word[1:] != word[:-1]) & (group[slots[1:]] == group[slots[:-1]])) + 1
+        new[slots[differ]] = True
+        d += step
+    out = np.empty(len(lms), np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out, int(new.sum())
 
 
 def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
@@ -161,13 +183,8 @@ def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
         induce = lambda order: np.asarray(_induce_plain(sl, tl, k, order.tolist()), np.int64)
     else:
         induce = lambda order: _induce(s, t, k, order)
-    sa = induce(lms)
-    is_lms = np.zeros(n, bool)
-    is_lms[lms] = True
-    order = sa[is_lms[sa]]
-    names, count = _names(s, lms, order)
-    if count < len(lms):
-        order = lms[suffix_array(names, count)]
+    names, count = _names(s, t, k, lms)
+    order = lms[np.argsort(names)] if count == len(lms) else lms[suffix_array(names, count)]
     return induce(order)
 
 
