@@ -1,15 +1,17 @@
 """Quality rules: base rules, then robust multivariate outliers per language and source.
 
 Every document gets a vector of transformed statistics (mean word length, symbols per word, repeated lines,
-repeated words). For each language and source the minimum-covariance-determinant estimate is fitted by
-concentration steps over all its documents that pass the base rules: from medians and scaled absolute
-deviations, the h = (n + p + 1) / 2 nearest documents give the next mean and covariance, and so on; all documents
-within a chi-square quantile of the last give the estimate. It holds while junk is less than half of a group. A
+repeated words). For each language and source the minimum-covariance-determinant estimate is fitted over all its
+documents that pass the base rules: from three starts (medians with absolute deviations, the plain moments, the moments of
+what lies around the medians) concentration steps go on, the h = (n + p + 1) / 2 nearest documents giving the next mean and
+covariance, until no determinant changes; the start that ends with the least determinant counts. All documents
+within a chi-square quantile of it give the estimate. It holds while junk is less than half of a group. A
 document is rejected if its squared Mahalanobis distance exceeds a chi-square quantile.
 
-DataFrame functions only. Vectors are whole thousandths, so sums are exact whatever the order of tasks, and
-quantiles keep a count per distinct value, a bounded number. Groups of fewer than `min_group` documents
-share the estimate of all such groups of their language. Groups are joined as rows; nothing is collected.
+DataFrame functions only. Vectors are whole thousandths, so sums are exact whatever the order of tasks. The h nearest
+are found from counts of distances on a logarithmic scale, 64 steps a power of e, and take in all at the last step.
+Groups of fewer than MIN_GROUP documents have too few for a covariance of their own: they share the estimate
+of all such groups of their language. Groups are joined as rows; nothing is collected but one sum a step.
 
 Null text has no words and fails the base rules; null language or source is a group of its own; an empty table
 gives no rows; repeated rows are judged each for itself; columns other than those named pass through `screen`.
@@ -35,7 +37,9 @@ REWEIGHTED = 0.975
 MIN_GROUP = 50
 #: Upper tail of the chi-square distribution beyond which a vector is an outlier.
 TAIL = 1e-6
-STEPS = 4
+#: Concentration ends after so many steps at the latest; some five do.
+MOST_STEPS = 25
+_BY = ["_dl_lang", "_dl_group"]
 
 
 def _chi2(x: float, half: int) -> float:
@@ -113,7 +117,7 @@ def vector(s: Column) -> list[Column]:
     return [F.round(1000 * f).cast("long").alias(d) for f, d in zip(forms, DIMS)]
 
 
-#: Tables with a row for each group are broadcast up to this many rows, else joined by a shuffle.
+#: Tables with a row for each group (three while it is fitted) are broadcast up to this many rows, else joined by a shuffle.
 BROADCAST_GROUPS = 50_000
 
 
@@ -143,7 +147,7 @@ def _distance(v: list[Column]) -> Column:
 
 
 def _factor(params: DataFrame) -> DataFrame:
-    """Cholesky factor of the covariance columns c_i_j, the squares of the floors added to its diagonal."""
+    """Cholesky factor of the covariance columns c_i_j, the squares of the floors added to its diagonal, and ld, the logarithm of its determinant."""
     p = len(DIMS)
     for i in range(p):
         for j in range(i + 1):
@@ -151,12 +155,14 @@ def _factor(params: DataFrame) -> DataFrame:
             for k in range(j):
                 at = at - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
             params = params.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(at, F.lit(1.0))) if i == j else at / F.col(f"l_{j}_{j}"))
-    return params.select("_dl_lang", "_dl_group", *(f"m_{i}" for i in range(p)), *(f"l_{i}_{j}" for i in range(p) for j in range(i + 1)))
+    keys = [c for c in (*_BY, "_dl_start") if c in params.columns]
+    params = params.withColumn("ld", 2 * sum((F.log(f"l_{i}_{i}") for i in range(1, p)), F.log("l_0_0")))
+    return params.select(*keys, "ld", *(f"m_{i}" for i in range(p)), *(f"l_{i}_{j}" for i in range(p) for j in range(i + 1)))
 
 
-def _estimate(near: DataFrame, factor: float) -> DataFrame:
+def _estimate(near: DataFrame, factor: float, by: list[str]) -> DataFrame:
     """Mean and covariance, times the factor, of each group's rows."""
-    sums = near.groupBy("_dl_lang", "_dl_group").agg(
+    sums = near.groupBy(*by).agg(
         F.count("*").alias("n"), *(F.sum(d).alias(f"s_{i}") for i, d in enumerate(DIMS)),
         *(F.sum(F.col(DIMS[i]) * F.col(DIMS[j])).alias(f"p_{i}_{j}") for i in range(len(DIMS)) for j in range(i + 1)),
     )
@@ -165,9 +171,8 @@ def _estimate(near: DataFrame, factor: float) -> DataFrame:
     return means.withColumns({f"c_{i}_{j}": factor * (F.col(f"p_{i}_{j}") / n - F.col(f"m_{i}") * F.col(f"m_{j}")) for i in range(len(DIMS)) for j in range(i + 1)})
 
 
-def _edges(far: DataFrame) -> DataFrame:
+def _edges(far: DataFrame, by: list[str]) -> DataFrame:
     """Distance _d of the h-th nearest row of each group, h = (n + p + 1) / 2, from the counts of the distinct distances."""
-    by = ["_dl_lang", "_dl_group"]
     counts = far.groupBy(*by, "_d").agg(F.count("*").alias("n"))
     within = F.sum("n").over(Window.partitionBy(*by).orderBy("_d"))
     total = F.sum("n").over(Window.partitionBy(*by))
@@ -175,6 +180,42 @@ def _edges(far: DataFrame) -> DataFrame:
     return counts.withColumns({"_within": within, "_half": half}).filter("_within >= _half").groupBy(*by).agg(F.min("_d").alias("_edge"))
 
 
+def _starts(rows: DataFrame, n_groups: int) -> DataFrame:
+    """Three first estimates of every group."""
+    middle = rows.groupBy(*_BY).agg(*(F.percentile(d, F.lit(0.5)).alias(f"m_{i}") for i, d in enumerate(DIMS)))
+    away = rows.join(_small(middle, n_groups), _BY).groupBy(*_BY).agg(
+        *(F.first(f"m_{i}").alias(f"m_{i}") for i in range(len(DIMS))), *(F.percentile(F.abs(F.col(d) - F.col(f"m_{i}")), F.lit(0.5)).alias(f"a_{i}") for i, d in enumerate(DIMS))
+    )
+    away = materialize(away)
+    medians = away.withColumns({f"c_{i}_{j}": F.pow(1.4826 * F.col(f"a_{i}"), 2) if i == j else F.lit(0.0) for i in range(len(DIMS)) for j in range(i + 1)})
+    around = rows.join(_small(away, n_groups), _BY)
+    for i, d in enumerate(DIMS):
+        around = around.filter(F.abs(F.col(d) - F.col(f"m_{i}")) <= 2 * F.greatest(1.4826 * F.col(f"a_{i}"), F.lit(FLOORS[i])))
+    out = [_factor(medians), _factor(_estimate(rows, 1.0, _BY)), _factor(_estimate(around, 1.0, _BY))]
+    return out[0].withColumn("_dl_start", F.lit(0)).unionByName(out[1].withColumn("_dl_start", F.lit(1))).unionByName(out[2].withColumn("_dl_start", F.lit(2)))
+
+
+def concentrate(rows: DataFrame, n_groups: int) -> DataFrame:
+    """The estimate of least determinant of each group (_dl_lang, _dl_group) of rows: its logarithm ld, means and Cholesky factor."""
+    by = [*_BY, "_dl_start"]
+    model, last = materialize(_starts(rows, n_groups)), None
+    for _ in range(MOST_STEPS):
+        # Distances on a logarithmic scale of 64 steps a power of e: a bounded number of distinct values a group.
+        far = rows.join(_small(model, 3 * n_groups), _BY).select(*by, *DIMS, F.floor(64 * F.log(_distance([F.col(d) for d in DIMS]) + 1e-3)).alias("_d"))
+        near = far.join(_small(_edges(far, by), 3 * n_groups), by).filter(F.col("_d") <= F.col("_edge"))
+        was, model = model, materialize(_factor(_estimate(near, consistency(COVERED), by)))
+        release(was)
+        # Sums of whole numbers over the same rows are the same, so a step that changes nothing is seen for sure.
+        now = model.agg(F.sum(F.round(1e6 * F.col("ld")).cast("decimal(38,0)"))).first()[0]
+        if now == last:
+            break
+        last = now
+    kept = [c for c in model.columns if c not in by]
+    best = materialize(model.groupBy(*_BY).agg(F.min_by(F.struct(*kept), F.struct("ld", "_dl_start")).alias("b")).select(*_BY, "b.*"))
+    release(model)
+    return best
+
+
 def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[DataFrame, DataFrame, int]:
     """(groups, model, n): which group each language and source belongs to, each group's mean and Cholesky factor, rows of groups.
 
@@ -185,24 +226,11 @@ def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[D
     groups = materialize(base.groupBy("_dl_lang", "_dl_source").agg(F.count("*").alias("n")).withColumn("_dl_group", pooled).drop("n"))
     n_groups = groups.count()
     rows = materialize(base.join(_small(groups, n_groups), ["_dl_lang", "_dl_source"]).drop("_dl_source"))
-    by = ["_dl_lang", "_dl_group"]
-    middle = rows.groupBy(*by).agg(*(F.percentile(d, F.lit(0.5)).alias(f"m_{i}") for i, d in enumerate(DIMS)))
-    away = rows.join(_small(middle, n_groups), by).groupBy(*by).agg(
-        *(F.first(f"m_{i}").alias(f"m_{i}") for i in range(len(DIMS))), *(F.percentile(F.abs(F.col(d) - F.col(f"m_{i}")), F.lit(0.5)).alias(f"a_{i}") for i, d in enumerate(DIMS))
-    )
-    start = away.withColumns({f"c_{i}_{j}": F.pow(1.4826 * F.col(f"a_{i}"), 2) if i == j else F.lit(0.0) for i in range(len(DIMS)) for j in range(i + 1)})
-    model = materialize(_factor(start))
-    factor = consistency(COVERED)
-    for _ in range(STEPS):
-        # Distances on a logarithmic scale of 64 steps a power of e: a bounded number of distinct values a group.
-        far = rows.join(_small(model, n_groups), by).select(*by, *DIMS, F.floor(64 * F.log(_distance([F.col(d) for d in DIMS]) + 1e-3)).alias("_d"))
-        near = far.join(_small(_edges(far), n_groups), by).filter(F.col("_d") <= F.col("_edge"))
-        was, model = model, materialize(_factor(_estimate(near, factor)))
-        release(was)
+    raw = concentrate(rows, n_groups)
     # Half of a group estimates roughly; all that lies within reach of it estimates well, and still takes no junk in.
-    within = rows.join(_small(model, n_groups), by).filter(_distance([F.col(d) for d in DIMS]) <= chi2_quantile(1 - REWEIGHTED))
-    was, model = model, materialize(_factor(_estimate(within, consistency(REWEIGHTED))))
-    release(was)
+    within = rows.join(_small(raw, n_groups), _BY).filter(_distance([F.col(d) for d in DIMS]) <= chi2_quantile(1 - REWEIGHTED))
+    model = materialize(_factor(_estimate(within, consistency(REWEIGHTED), _BY)))
+    release(raw)
     release(rows)
     return groups, model, n_groups
 
@@ -210,7 +238,7 @@ def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[D
 def score(stats: DataFrame, groups: DataFrame, model: DataFrame, n_groups: int, lang: str = "lang", source: str = "source", tail: float = TAIL) -> DataFrame:
     """Add base_failed, distance (null if the base rules failed) and kept to rows with the struct s."""
     keys = _keys(lang, source)
-    joined = stats.withColumns({"_dl_lang": keys[0], "_dl_source": keys[1]}).join(_small(groups, n_groups), ["_dl_lang", "_dl_source"], "left").join(_small(model, n_groups), ["_dl_lang", "_dl_group"], "left")
+    joined = stats.withColumns({"_dl_lang": keys[0], "_dl_source": keys[1]}).join(_small(groups, n_groups), ["_dl_lang", "_dl_source"], "left").join(_small(model.drop("ld"), n_groups), _BY, "left")
     edge = chi2_quantile(tail)
 
     def verdict(x: Column) -> Column:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -252,6 +253,42 @@ def test_outliers_are_rejected_in_dirty_sources(spark):
     assert {i for i, kept in got.items() if kept} == {x[0] for x in rows if x[4]}
 
 
+def _log_det(points, floors):
+    import numpy as np
+
+    x = np.asarray(points, float)
+    c = quality.consistency(quality.COVERED) * (x.T @ x / len(x) - np.outer(x.mean(0), x.mean(0)))
+    return float(np.linalg.slogdet(c + np.diag(np.square(floors)))[1])
+
+
+def test_least_determinant_against_every_subset(spark):
+    """Concentration ends at the half of least determinant among all halves, in groups where the starts differ."""
+    from itertools import combinations
+
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    rows = []
+    for g, far in enumerate(((2000, 0, 0, 0), (900, 1500, 0, 800), (0, 0, 400, 900))):
+        near, out = rng.normal(0, (60, 200, 40, 120), (8, 4)) + 1500, rng.normal(0, (400, 600, 300, 500), (5, 4)) + 1500 + np.asarray(far)
+        rows += [("x", str(g), *map(int, v)) for v in np.vstack([near, out]).round()]
+    table = spark.createDataFrame(rows, "_dl_lang string, _dl_group string, " + ", ".join(f"{d} long" for d in quality.DIMS))
+    got = {r["_dl_group"]: r["ld"] for r in quality.concentrate(table, 3).collect()}
+    for g in got:
+        points = [r[2:] for r in rows if r[1] == g]
+        h = (len(points) + len(quality.DIMS) + 1) // 2
+        assert got[g] == pytest.approx(min(_log_det(c, quality.FLOORS) for c in combinations(points, h)), abs=1e-6)
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").is_dir(), reason="no test tables")
+def test_labelled_documents_are_told_apart(spark):
+    d = "/root/testdata/sf0.01"
+    got = quality.judge(spark.read.parquet(f"{d}/documents.parquet")).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").filter(~F.col("base_failed"))
+    rows = [(r["quality"], r["kept"]) for r in got.select("quality", "kept").collect()]
+    good, bad = [k for q, k in rows if q == 1], [k for q, k in rows if q == 0]
+    assert len(good) > 100 and sum(good) >= 0.98 * len(good) and len(bad) > 10 and sum(bad) <= 0.05 * len(bad)
+
+
 def test_decontamination(spark, docs, none):
     r = random.Random(6)
     words = [f"w{i}" for i in range(900)]
