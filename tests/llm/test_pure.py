@@ -2,6 +2,7 @@
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -239,3 +240,80 @@ def test_names_of_wrappers_do_not_skip_the_page(name):
     for body in (f"<article>{inner}</article>", f"<div>{inner}</div>"):
         got = html.extract_text(f"<body><div class='{name}'>{body}<div class=sidebar><p>{LONG}</p></div></div></body>")
         assert got.split("\n") == text
+
+
+def _article(inside):
+    return html.extract_text(f"<body><nav><a href=/>Menu</a></nav><article><h1>Head</h1><p>{LONG}</p>{inside}<p>Last {LONG}</p></article><footer>Foot</footer></body>").split("\n")
+
+
+WHOLE = ["Head", LONG.strip(), f"Last {LONG.strip()}"]
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        f"<article class=comment><p>{LONG}</p></article>", f"<article class='advert'><p>{LONG}</p></article>", f"<section id=comments><article><p>{LONG}</p></article></section>", f"<div class='ad-slot ad-300x250'>{LONG}</div>",
+        f"<div class=relatedPosts><p>{LONG}</p></div>", "<div role=navigation><a>x</a></div>", f"<div class=newsletter-signup><p>{LONG}</p></div>", "<div class=notice>See <a>this</a></div>", f"<p hidden>{LONG}</p>",
+        "<span style='display: none'>gone</span>", "<aside><p>aside</p></aside>", f"<div aria-label='Post comments'>{LONG}</div>",
+    ],
+)
+def test_boilerplate_inside_an_article_goes(part):
+    assert _article(part) == WHOLE
+
+
+@pytest.mark.parametrize("name", ["side-effects", "social-science", "search-results-analysis", "share-price", "commentary", "related-work", "menu-prices-study", "no-ads", "has-comments"])
+def test_names_that_merely_hold_such_a_word_stay(name):
+    assert _article(f"<div class='{name}'><p>Short.</p><p>In {LONG}</p></div>") == [*WHOLE[:2], "Short.", f"In {LONG.strip()}", WHOLE[2]]
+
+
+def test_ambiguous_names_follow_the_ratios():
+    assert _article(f"<section class=notice><p>In {LONG}</p></section>") == [*WHOLE[:2], f"In {LONG.strip()}", WHOLE[2]]
+
+
+def test_headers():
+    page = f"<header><h2>Site</h2><p>{LONG}</p></header><article><header><h1>Own headline</h1></header><p>{LONG}</p><footer>tags</footer></article>"
+    assert html.extract_text(page).split("\n") == ["Own headline", LONG.strip()]
+
+
+def test_articles_among_comments():
+    page = f"<main><p>{LONG}</p></main><div class=comments>{f'<article><p>comment {LONG}</p></article>' * 5}</div>"
+    assert html.extract_text(page) == LONG.strip()
+    assert html.extract_text(f"<div class='page sidebar'><article><p>{LONG}</p></article></div>") == LONG.strip()
+    assert html.extract_text(f"<div class=comments><p>only {LONG}</p></div>") == f"only {LONG.strip()}"
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<div>x", "<b><p>", "<article>x", "<li><i>", "<table><td>x", "<span class=ad>x</b>"])
+def test_time_follows_the_length_of_a_page(unit):
+    import time
+
+    took = []
+    for n in (4000, 16000):
+        best = 9.0
+        for _ in range(3):
+            began = time.process_time()
+            html.extract_text(unit * n)
+            best = min(best, time.process_time() - began)
+        took.append(best)
+    assert took[1] < 9 * took[0] + 0.05
+
+
+def _plain_extract(page):
+    """The main text of pages of one simple layout, by cutting the article out of the markup."""
+    import html as std
+
+    body = page[page.index("<article>") + 9 : page.index("</article>")]
+    parts = re.split(r"</?(?:p|h1)>", body)
+    return "\n".join(x for x in (re.sub(r"\s+", " ", std.unescape(re.sub(r"</?b>", "", p.replace("<br>", " ")))).strip() for p in parts) if x)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_pages_of_the_tables(sf):
+    import pyarrow.parquet as pq
+
+    path = Path(f"/root/testdata/{sf}/pages.parquet")
+    if not path.is_file():
+        pytest.skip("no test tables")
+    pages = [x for x in pq.read_table(path, columns=["html"]).column(0).to_pylist() if x and re.search(r"<article>.*</article>", x, re.S)]
+    assert pages
+    for page in pages:
+        assert html.extract_text(page) == _plain_extract(page)
