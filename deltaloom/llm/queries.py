@@ -49,7 +49,8 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import findings, train
 
-    return findings(table(spark, sf_dir, "documents"), train(spark))
+    docs = table(spark, sf_dir, "documents")
+    return findings(docs, train(spark, docs))
 
 
 def op7_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
