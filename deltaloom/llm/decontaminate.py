@@ -1,9 +1,10 @@
 """Benchmark decontamination by SimHash windows.
 
 Texts become lower-case words of letters and digits; windows are as long as the benchmark item they are held
-against, and carry multisets of five-word shingles. A window can only reach the similarity asked for if it shares
-shingles with the item, so windows are taken where enough shared shingles lie: at each shared shingle, and where
-it would put the item's start. Windows get a 64-bit SimHash; eight blocks of eight bits, each probed up to two
+against, and carry multisets of five-word shingles. A window of similarity 0.8 shares 0.8 of the item's shingles at least, so it
+shares one of the item's rarest m - 0.8 m + 1: only these (rare among the items, that is) make candidates, and a
+phrase that many items have in common makes none. In a candidate's text a window can only reach the similarity if enough of its shingles are the
+item's, and a best one begins with a shared shingle; windows are taken there. Windows get a 64-bit SimHash; eight blocks of eight bits, each probed up to two
 bits off, find every item fingerprint of that length within RADIUS (23 = 3 * 8 - 1: by the pigeonhole principle
 some block is at most two bits off). Candidates are then verified exactly: similarity is the sum of least counts
 over the sum of greatest counts of the shingles of both.
@@ -11,11 +12,12 @@ over the sum of greatest counts of the shingles of both.
 Two multisets of similarity 0.8 differ by 9.7 bits on average with a deviation of 2.9: the radius lies 4.8
 deviations beyond.
 
-DataFrame functions only. Benchmark shingles are broadcast if they number at most BROADCAST_ROWS, else joined by
+DataFrame functions only. The rare shingles of the benchmark are broadcast if they number at most BROADCAST_ROWS, else joined by
 a shuffle; every other join is left to sizes. Documents shorter than an item are held against it whole.
 
 Null and empty texts, and items or documents of fewer than five words, have no shingle: they match nothing.
-Repeated rows of one id count as one document; an empty table on either side gives no rows.
+Repeated rows of one id count as one document, different texts under one id are each held against the items, rows
+without an id are not looked at (and stay); of several texts of one item the least counts; an empty table on either side gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 
 K = 5
 RADIUS = 23
@@ -85,31 +87,42 @@ def leaks(
 ) -> DataFrame:
     """(id_col, item_col, start, similarity): the best window of each document for each item that reaches the similarity.
 
-    start counts words from 0; a document's best window is the first of the most similar.
+    start counts words from 0; a document's best window is the first of the most similar that begin with a shared shingle.
     """
-    items = benchmark.select(F.col(item_col).alias("item"), shingles(F.col(item_text)).alias("t")).filter(F.size("t") > 0).dropDuplicates(["item"])
+    items = benchmark.select(F.col(item_col).alias("item"), shingles(F.col(item_text)).alias("t")).filter(F.col("item").isNotNull() & (F.size("t") > 0))
+    items = items.groupBy("item").agg(F.min("t").alias("t"))
     items = materialize(items.withColumn("m", F.size("t")))
-    item_marks = items.select("item", "m", F.posexplode("t").alias("at", "h"))
-    marks = item_marks.groupBy("h").agg(F.collect_set(F.struct("item", "m")).alias("items"))
-    if item_marks.count() <= BROADCAST_ROWS:
-        marks = F.broadcast(marks)
-    places = docs.select(F.col(id_col).alias("id"), F.posexplode(shingles(F.col(text_col))).alias("p", "h"))
-    found = materialize(places.join(marks, "h").select("id", "p", "h", F.explode("items").alias("i")).select("id", "p", "h", "i.item", "i.m"))
-    enough = found.groupBy("id", "item", "m").agg(F.count_distinct("p").alias("c")).filter(F.col("c") >= similarity * F.col("m")).select("id", "item")
-    found = found.join(enough, ["id", "item"], "left_semi")
-    aligned = found.join(item_marks.select("item", "h", "at"), ["item", "h"]).select("id", "m", (F.col("p") - F.col("at")).alias("p"))
-    starts = materialize(found.select("id", "m", "p").union(aligned).distinct())
-    ids = materialize(starts.select("id").distinct())
+    least = F.ceil(F.col("m") * F.lit(similarity) - 1e-9).cast("int")
+    item_marks = items.select("item", "m", F.explode("t").alias("h"))
+    holders = item_marks.groupBy("h").agg(F.count_distinct("item").alias("f"))
+    ranked = item_marks.join(holders, "h").groupBy("item", "m").agg(F.array_sort(F.collect_list(F.struct("f", "h"))).alias("r"))
+    rare = ranked.select("item", F.explode(F.array_distinct(F.slice("r", F.lit(1), F.col("m") - least + 1))).alias("x")).select("item", "x.h")
+    rare = materialize(rare.groupBy("h").agg(F.collect_set("item").alias("items")))
+    n_rare = rare.count()
+    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("sub"), F.col(text_col).alias("text")).filter("id IS NOT NULL")
+    places = source.select("id", "sub", F.explode(F.array_distinct(shingles(F.col("text")))).alias("h"))
+    hits = places.join(F.broadcast(rare) if n_rare <= BROADCAST_ROWS else rare, "h")
+    pairs = materialize(hits.select("id", "sub", F.explode("items").alias("item")).distinct())
+    ids = materialize(pairs.select("id", "sub").distinct())
     # Few documents hold shared passages; if the list of them is small it is broadcast (by its size on disk), else joined by a shuffle.
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi").dropDuplicates(["id"])
-    texts = materialize(texts.select("id", shingles(F.col("text")).alias("s")))
-    last = F.greatest(F.size("s") - F.col("m"), F.lit(0))
-    windows = starts.join(texts, "id").select("id", "m", F.least(F.greatest("p", F.lit(0)), last).alias("start"), "s").dropDuplicates(["id", "m", "start"])
-    windows = materialize(windows.select("id", "m", "start", F.slice("s", F.col("start") + 1, F.col("m")).alias("w")))
+    texts = source.join(ids, ["id", "sub"], "left_semi").dropDuplicates(["id", "sub"])
+    texts = materialize(texts.select("id", "sub", shingles(F.col("text")).alias("s")))
+    release(ids)
+    spots = pairs.join(texts, ["id", "sub"]).select("id", "sub", "item", F.size("s").alias("n"), F.posexplode("s").alias("p", "h"))
+    spots = spots.join(item_marks.distinct(), ["item", "h"]).groupBy("id", "sub", "item", "n", "m").agg(F.sort_array(F.collect_list("p")).alias("at"))
+    # A window is worth a look if the last of the shared shingles that it needs lies within it.
+    dense = F.filter("at", lambda p, i: F.coalesce(F.get(F.col("at"), i + least - 1) < p + F.col("m"), F.lit(False)))
+    last = F.greatest(F.col("n") - F.col("m"), F.lit(0))
+    starts = materialize(spots.select("id", "sub", "m", last.alias("last"), F.explode(dense).alias("p")).select("id", "sub", "m", F.least("p", "last").alias("start")).distinct())
+    windows = materialize(starts.join(texts, ["id", "sub"]).select("id", "sub", "m", "start", F.slice("s", F.col("start") + 1, F.col("m")).alias("w")))
+    release(pairs)
+    release(texts)
+    release(starts)
     probes = fingerprints(items, ["item", "m"], "t").select("item", "m", "fp", F.explode(_probes(F.col("fp"))).alias("b")).select("item", "m", F.col("fp").alias("ifp"), "b.block", "b.value")
-    blocks = fingerprints(windows, ["id", "m", "start"], "w").select("id", "m", "start", "fp", F.explode(_blocks(F.col("fp"))).alias("b")).select("id", "m", "start", "fp", "b.block", "b.value")
-    near = blocks.join(probes, ["m", "block", "value"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS).select("id", "m", "start", "item").distinct()
-    both = near.join(windows, ["id", "m", "start"]).join(items.select("item", "t"), "item").withColumn("x", shared(F.col("w"), F.col("t")))
+    key = ["id", "sub", "m", "start"]
+    blocks = fingerprints(windows, key, "w").select(*key, "fp", F.explode(_blocks(F.col("fp"))).alias("b")).select(*key, "fp", "b.block", "b.value")
+    near = blocks.join(probes, ["m", "block", "value"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS).select(*key, "item").distinct()
+    both = near.join(windows, key).join(items.select("item", "t"), "item").withColumn("x", shared(F.col("w"), F.col("t")))
     scored = both.select("id", "item", "start", (F.col("x") / (F.size("w") + F.size("t") - F.col("x"))).alias("similarity")).filter(F.col("similarity") >= similarity)
     best = scored.groupBy("id", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("s"))).alias("b"))
     return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), (-F.col("b.s")).alias("start"), F.round("b.similarity", 6).alias("similarity"))

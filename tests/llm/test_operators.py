@@ -293,14 +293,18 @@ def test_decontamination(spark, docs, none):
     r = random.Random(6)
     words = [f"w{i}" for i in range(900)]
     items = [(i, " ".join(r.choice(words) for _ in range(n))) for i, n in enumerate((40, 40, 25, 60, 5, 3, 0))] + [(7, None), (8, "say it again " * 12)]
+    phrase = "answer the question below in one short sentence "  # many items share it
+    items += [(k, phrase + " ".join(r.choice(words) for _ in range(50))) for k in range(9, 20)]
     text = dict(items)
     edited = text[0].split()
     edited[20] = "other"
     cases = {
         1: "before " + text[0].upper().replace(" ", ", ") + " after", 2: "x " * 30 + " ".join(edited), 3: " ".join(text[1].split()[:20]), 4: text[3], 5: "clean words " * 40, 6: None, 7: "",
         8: text[2] + " and " + text[1], 9: " ".join(text[0].split()[:30]) + " z" * 60, 10: " ".join(text[3].split()[:57]), 11: "well " + text[8] + "then",
+        12: text[9] + " tail " + text[10], 13: "say it again " * 200, 14: " ".join(text[10].split()[:45]) + " x y " + " ".join(text[10].split()[45:]),
     }
-    table = spark.createDataFrame([(i, t, 1) for i, t in cases.items()], "doc_id long, text string, item_id int")
+    rows = [(i, t, 1) for i, t in cases.items()] + [(1, cases[1], 2), (5, "other words of the same id", 1), (None, text[0], 1)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, item_id int")
     bench = spark.createDataFrame(items, "item_id long, text string")
 
     def grams(w):
@@ -326,7 +330,7 @@ def test_decontamination(spark, docs, none):
     assert {1, 4, 8} <= {i for i, _ in got} and not {3, 5, 6, 7} & {i for i, _ in got}
     kept = decontaminate.clean(table, bench)
     assert kept.columns == table.columns
-    assert {r["doc_id"] for r in kept.collect()} == set(cases) - {i for i, _ in want}
+    assert {r["doc_id"] for r in kept.collect()} == set(cases) - {i for i, _ in want} | {None}
     assert decontaminate.leaks(none, bench).count() == 0
     assert decontaminate.leaks(table, bench.limit(0)).count() == 0
 
