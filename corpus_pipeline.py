@@ -31,7 +31,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets masked; n_chars follows the text."""
     from pyspark.sql import functions as F
 
-    return secrets.redact(docs, secrets.train(spark)).withColumn("n_chars", F.length("text").cast("long"))
+    return secrets.redact(docs, secrets.train(spark, docs)).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,5 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: No SQL for the forest, the covariance estimate and the packing; the stages are tested against brute force.
+#: No SQL for the forest, the covariance estimate and the packing; tests/llm/test_pipeline.py holds each stage against brute force or its operator's contract.
 ORACLE_SQL = None
