@@ -6,8 +6,11 @@ words are learned too. Training maximises the likelihood of chains put together
 in different languages, so the transitions know code-switched text. Forward-backward gives each word's label
 probabilities; a text's language is the one with the largest mean, and that mean is the score.
 
-The model is fitted on the driver on a bounded sample of labelled documents (MOST_DOCS in all, MOST_WORDS words of
-each from a random place on); prediction covers every word of every text, long ones in the same vector steps.
+The model is fitted on the driver on a bounded sample of labelled documents: MOST_DOCS in all (one of each language at
+least, so every language is learned) and at most MOST_CHARS characters of each from a random place on, cut on the
+executors. The weight table has 2^BITS rows, fewer with many languages, so that it stays within MOST_WEIGHTS numbers.
+Prediction covers every word of every text; long texts go through in pieces of PIECE bytes, with the messages
+handed on from piece to piece, so they take no more memory than short ones and get the same probabilities.
 
 Null texts and texts without a letter get `und` and score 0. Without labelled documents every text gets `und`. An empty
 table gives no rows; repeated rows are predicted each for itself; columns other than those named are not read.
@@ -27,7 +30,10 @@ from .common import mix64, slices, string_buffers
 
 MOST_DOCS = 1600
 MOST_WORDS = 400
+MOST_CHARS = 6000
 BITS = 18
+MOST_WEIGHTS = 1 << 22
+PIECE = 1 << 20
 CHAIN = 48
 EPOCHS = 3
 UNKNOWN = "und"
@@ -95,6 +101,9 @@ def emissions(weights: np.ndarray, per: np.ndarray, pieces: np.ndarray, starts:
     """Score of each label for each word: the sum of the weights of its features."""
     if not len(per):
         return np.zeros((0, weights.shape[1]), np.float32)
+    low = len(weights) - 1
+    if low < int(_MASK):
+        per, pieces = per & low, pieces & low
     out = weights[per[:, 0]].copy()
     for j in range(1, per.shape[1]):
         out += weights[per[:, j]]
@@ -110,7 +119,7 @@ def forward_backward(e: np.ndarray, moves: np.ndarray, first: np.ndarray) -> tup
     order = np.argsort(-n, kind="stable")
     heads, n = first[:-1][order], n[order]
     steps = int(n[0]) if len(n) else 0
-    psi = np.exp(np.clip(e - e.max(1, keepdims=True), -60, 0)).astype(np.float32) if len(e) else e
+    psi = _psi(e)
     trans = np.exp(moves - moves.max()).astype(np.float32)
     alpha, beta = np.ones_like(psi), np.ones_like(psi)
     # Chains with more than t words, for each t.
@@ -132,6 +141,11 @@ def forward_backward(e: np.ndarray, moves: np.ndarray, first: np.ndarray) -> tup
     return (p / p.sum(1, keepdims=True) if len(p) else p), alpha, psi * beta
 
 
+def table_rows(labels: int) -> int:
+    """Rows of the weight table: a power of two."""
+    return 1 << max(8, min(BITS, (MOST_WEIGHTS // labels).bit_length() - 1))
+
+
 def fit(texts: list[str], langs: list[str], seed: int = 1) -> Model:
     """Train on texts with one language each."""
     labels = tuple(sorted(set(langs)))
@@ -164,11 +178,16 @@ def fit(texts: list[str], langs: list[str], seed: int = 1) -> Model:
         a, z = queues[now].pop()
         words += range(a, z)
         truth += [now] * (z - a)
-    n = len(words) // CHAIN * CHAIN or len(words)
-    chains = np.asarray(words[:n]).reshape(-1, min(CHAIN, n) or 1)
-    truth_at = np.asarray(truth[:n]).reshape(chains.shape)
-    weights, moves = np.zeros((1 << BITS, size), np.float32), np.zeros((size, size), np.float32)
-    seen, seen_moves = np.full((1 << BITS, size), 1e-2, np.float32), np.full((size, size), 1e-1, np.float32)
+    step = min(CHAIN, len(words)) or 1
+    heads = list(range(0, len(words) - step + 1, step))
+    if heads and heads[-1] + step < len(words):
+        heads.append(len(words) - step)  # the last chain begins early enough to be whole
+    span = np.asarray(heads, np.int64)[:, None] + np.arange(step)
+    chains, truth_at = np.asarray(words, np.int64)[span], np.asarray(truth, np.int64)[span]
+    rows_of = table_rows(size)
+    per, pieces = per & (rows_of - 1), pieces & (rows_of - 1)
+    weights, moves = np.zeros((rows_of, size), np.float32), np.zeros((size, size), np.float32)
+    seen, seen_moves = np.full((rows_of, size), 1e-2, np.float32), np.full((size, size), 1e-1, np.float32)
     eye = np.eye(size, dtype=np.float32)
     for _ in range(EPOCHS):
         for rows in np.array_split(rng.permutation(len(chains)), max(1, len(chains) // 64)):
@@ -201,17 +220,77 @@ def _expected_moves(alpha: np.ndarray, ahead: np.ndarray, moves: np.ndarray) ->
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int = MOST_DOCS) -> list[tuple[str, str]]:
-    """At most `most` labelled (text, language) in all, evenly by language, chosen by hashes of the ids."""
-    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in docs.filter(F.col(lang_col).isNotNull()).groupBy(lang_col).agg(F.count("*")).orderBy(F.desc("count(1)"), lang_col).limit(most // 8).collect()}
+    """At most `most` labelled (text, language) in all, or one a language, evenly by language, chosen by hashes of the ids; of a long text a stretch of MOST_CHARS."""
+    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")).alias("h"))
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.count("*")).collect()}  # a row for each language
     if not counts:
         return []
-    each = max(8, most // len(counts))
-    share = F.element_at(F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, float(min(1.0, 4 * each / n))))), F.col(lang_col))
-    h = F.xxhash64(F.col(id_col).cast("string"), F.lit("sample"))
-    near = rows.filter(F.pmod(h, F.lit(1 << 30)) < share * float(1 << 30)).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), h.alias("h"))
+    each = max(1, most // len(counts))
+    # Twice as many as are wanted, and a few more, by their hashes: enough with all but certainty, and where it is not, some fewer are learned from.
+    share = F.element_at(F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, float(min(1.0, (2 * each + 40) / n))))), F.col("lang"))
+    near = rows.filter(F.pmod("h", F.lit(1 << 30)) < share * float(1 << 30))
     best = near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", F.xxhash64("text")))).filter(F.col("r") <= each)
-    return [(r["text"], r["lang"]) for r in best.orderBy("lang", "r").collect()]
+    spare = F.greatest(F.length("text") - MOST_CHARS, F.lit(0))
+    place = F.pmod(F.xxhash64("h", F.lit("place")), spare + 1).cast("int") + 1
+    cut = F.when(spare == 0, F.col("text")).otherwise(F.regexp_replace(F.substr("text", place, F.lit(MOST_CHARS)), r"^\S*\s+|\s+\S*$", ""))
+    return [(r["text"], r["lang"]) for r in best.select("lang", "r", cut.alias("text")).orderBy("lang", "r").collect()]
+
+
+def _pieces(b: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Stretches of about `size` bytes that end where no word goes on; a single longer word stays whole."""
+    out, at = [], 0
+    while at < len(b):
+        to = min(at + size, len(b))
+        while to < len(b) and _LETTER[b[to]] and _LETTER[b[to - 1]]:
+            more = np.flatnonzero(~_LETTER[b[to : to + size]])
+            to = to + int(more[0]) if len(more) else min(to + size, len(b))
+        out.append((at, to))
+        at = to
+    return out
+
+
+def _piece_emissions(b: np.ndarray, m: Model) -> np.ndarray:
+    t = Tokens(np.array([0, len(b)]), b)
+    return emissions(m.weights, *t.features())
+
+
+def long_text(b: np.ndarray, m: Model, size: int = PIECE) -> tuple[np.ndarray, int, int]:
+    """(sums of the label probabilities, words, runs) of one text, piece by piece: forward over all pieces keeping a message each, then backward."""
+    trans = np.exp(m.moves - m.moves.max()).astype(np.float32)
+    pieces = _pieces(b, size)
+    into: list[np.ndarray | None] = []  # message before each piece
+    now = None
+    for a, z in pieces:
+        into.append(now)
+        for x in _psi(_piece_emissions(b[a:z], m)):
+            step = x if now is None else (now @ trans) * x
+            now = step / step.sum()
+    sums, words, runs = np.zeros(len(m.labels)), 0, 0
+    beta, behind = np.ones(len(m.labels), np.float32), None  # message from behind the piece; first label behind it
+    for (a, z), start in zip(reversed(pieces), reversed(into)):
+        psi = _psi(_piece_emissions(b[a:z], m))
+        if not len(psi):
+            continue
+        alpha, now = np.empty_like(psi), start
+        for i, x in enumerate(psi):
+            step = x if now is None else (now @ trans) * x
+            now = alpha[i] = step / step.sum()
+        p = np.empty_like(psi)
+        for i in range(len(psi) - 1, -1, -1):
+            p[i] = alpha[i] * beta
+            beta = trans @ (psi[i] * beta)
+            beta /= beta.sum()
+        p /= p.sum(1, keepdims=True)
+        best = p.argmax(1)
+        sums += p.sum(0, dtype=np.float64)
+        words += len(p)
+        runs += 1 + int((best[1:] != best[:-1]).sum()) - int(behind is not None and behind == best[-1])
+        behind = best[0]
+    return sums, words, runs
+
+
+def _psi(e: np.ndarray) -> np.ndarray:
+    return np.exp(np.clip(e - e.max(1, keepdims=True), -60, 0)).astype(np.float32) if len(e) else e
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", extra: tuple[Column, ...] = ()) -> DataFrame:
@@ -220,8 +299,17 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     kept = src.schema.fields[1:]
     sent = docs.sparkSession.sparkContext.broadcast(model)  # its size is fixed by BITS and the number of languages
 
+    def one_long(col: pa.Array, m: Model) -> tuple[list[str], list[float], np.ndarray, np.ndarray]:
+        _, b = string_buffers(col)
+        sums, words, runs = long_text(b, m)
+        real = words and any(c.isalpha() for a, z in _pieces(b, PIECE) for c in bytes(b[a:z]).decode(errors="ignore"))
+        k = int(sums.argmax())
+        return [m.labels[k] if real else UNKNOWN], [round(float(min(1.0, sums[k] / words)), 6) if real else 0.0], np.array([words]), np.array([runs])
+
     def label(col: pa.Array, m: Model) -> tuple[list[str], list[float], np.ndarray, np.ndarray]:
         off, b = string_buffers(col)
+        if len(off) == 2 and len(b) > 4 * PIECE:
+            return one_long(col, m)
         es, firsts, base, at = [], [], 0, 0
         while at < len(off) - 1:  # features take much memory a byte: about 1 MB of text at a time
             to = max(at + 1, int(np.searchsorted(off, off[at] + (1 << 20), side="right")) - 1)
@@ -255,7 +343,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for b in slices(batches, "_dl_text", 8 << 20):
+        for b in slices(batches, "_dl_text", 4 * PIECE):
             if m is None:
                 lang, score, n, runs = [UNKNOWN] * b.num_rows, [0.0] * b.num_rows, np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
             else:

@@ -470,3 +470,18 @@ def test_language(spark, none):
     assert all(out[i]["lang_pred"] == "und" for i in (900, 901, 902, 903))
     assert any(out[i]["held_out"] for i in range(120))
     assert language.identify(none.select("doc_id", "text", "lang"), held).count() == 0
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").is_dir(), reason="no test tables")
+def test_language_of_held_out_documents(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    rows = language.identify(docs, held).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out AND lang IS NOT NULL AND lang_pred <> 'und'").select("lang", "lang_pred").collect()
+    assert len(rows) > 100 and sum(a == b for a, b in rows) >= 0.98 * len(rows)
+
+
+def test_samples_are_cut_and_hold_every_language(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_CHARS", 200)
+    rows = [(i, f"{'word ' * 5000}end", f"l{i % 30}") for i in range(90)] + [(900, "only one", "rare"), (901, None, "none"), (902, "x", None)]
+    got = language.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang", most=10)
+    assert {x for _, x in got} == {f"l{i}" for i in range(30)} | {"rare"} and all(len(t) <= 200 and set(t.split()) <= {"word", "end", "only", "one"} for t, _ in got)

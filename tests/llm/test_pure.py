@@ -209,6 +209,34 @@ def test_code_switched_words_are_told_apart():
     assert [m.labels[k] for k in p.argmax(1)] == ["en"] * 6 + ["de"] * 6
 
 
+@pytest.mark.parametrize("size", [1, 7, 64, 500, 100_000])
+def test_long_texts_in_pieces_are_as_in_one(size):
+    r = random.Random(6)
+    en, de = "the quick brown fox jumps over this dog".split(), "der schnelle braune fuchs springt nicht weg".split()
+    m = language.fit([" ".join(r.choice(w) for _ in range(60)) for w in (en, de) for _ in range(6)], ["en"] * 6 + ["de"] * 6)
+    text = "  ".join(" ".join(r.choice(w) for _ in range(r.randint(3, 30))) for w in (en, de, en, ["wort" * 40], de))
+    b = np.frombuffer(text.encode(), np.uint8)
+    t = language.Tokens(np.array([0, len(b)]), b)
+    p, _, _ = language.forward_backward(language.emissions(m.weights, *t.features()), m.moves, t.first)
+    best = p.argmax(1)
+    sums, words, runs = language.long_text(b, m, size)
+    assert words == len(p) and runs == 1 + int((best[1:] != best[:-1]).sum())
+    assert np.allclose(sums, p.sum(0, dtype=np.float64), rtol=1e-3, atol=1e-3)
+
+
+def test_many_languages_are_all_learned():
+    r = random.Random(9)
+    langs = [f"l{i}" for i in range(40)]
+    own = {x: ["".join(r.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(8)] for x in langs}
+    m = language.fit([" ".join(r.choice(own[x]) for _ in range(60)) for x in langs], langs)
+    assert m.labels == tuple(sorted(langs)) and m.weights.size <= language.MOST_WEIGHTS
+    for x in langs:
+        raw = " ".join(own[x]).encode()
+        t = language.Tokens(np.array([0, len(raw)]), np.frombuffer(raw, np.uint8))
+        p, _, _ = language.forward_backward(language.emissions(m.weights, *t.features()), m.moves, t.first)
+        assert m.labels[int(p.sum(0).argmax())] == x
+
+
 @pytest.mark.parametrize("bad", ["<![foo[x]]>", "<![x>", "<![ x ]>", "<![>", "<![1]>", "<![endif]>", "<![CDATA[x]]>"])
 def test_text_after_a_malformed_section(bad):
     assert html.extract_text(f"<p>one {bad} two</p>{bad}<p>three</p>").replace("  ", " ").split("\n") == ["one two", "three"]
