@@ -18,6 +18,10 @@ WORD_SPLIT = r"[\x20\x09-\x0D]+"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Folders that materialize wrote and nobody has released yet.
+_written: list[str] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage ends, lost executors lose nothing."""
     spark = df.sparkSession
@@ -31,17 +35,30 @@ def materialize(df: DataFrame) -> DataFrame:
         spark.conf.set(_CLEANUP, was)
     out = spark.read.schema(df.schema).parquet(path)
     out._deltaloom_path = path  # noqa: SLF001
+    _written.append(path)
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)  # noqa: SLF001
+    if path in _written:
+        _written.remove(path)
+
+
 def release(df: DataFrame) -> None:
     """Delete what materialize wrote, once nothing reads it any more."""
     path = getattr(df, "_deltaloom_path", None)
     if path:
-        jvm = df.sparkSession.sparkContext._jvm  # noqa: SLF001
-        conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+        _delete(df.sparkSession, path)
+
+
+def release_all(spark: SparkSession) -> int:
+    """Delete all that materialize wrote and that is still there: for callers that have written their results. How many folders."""
+    n = len(_written)
+    for path in list(_written):
+        _delete(spark, path)
+    return n
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

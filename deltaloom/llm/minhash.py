@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix64, slices
+from .common import materialize, mix64, release, slices
 from .components import components
 from .grams import Words, shingle_sets
 
@@ -216,6 +216,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             sure = F.least(F.col("x.n_shingles") - F.col("x.at"), F.col("y.n_shingles") - F.col("y.at")) * (100 + percent) >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles"))
             rest = rest.union(x.join(y, (F.col("x.mark") == F.col("y.mark")) & fits & once & sure).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
         go_on(rest)
+    for t in (reps, shared, crowded, star, sets, links):
+        release(t)
     final = (
         sketch.select("id", "n_shingles", "digest").join(same.select("digest", F.col("id").alias("rep")), "digest", "left")
         .join(comp.withColumnRenamed("node", "rep"), "rep", "left")
