@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from deltaloom.llm import decontaminate, minhash, packing, quality, secrets
-from deltaloom.llm.common import materialize, table
+from deltaloom.llm.common import materialize, release, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table of documents."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        was, docs = docs, materialize(stage(spark, docs, sf_dir))
+        release(was)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
