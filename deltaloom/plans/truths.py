@@ -271,6 +271,23 @@ def stream_survives_failures(spark: SparkSession, sf: str) -> DataFrame:
     return _orders_shown(app).withColumn("failures", F.lit(len(fails)))
 
 
+def stream_flush_and_drain(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream with a flush interval, more changes while it runs, and a drain: it ends when all has been applied."""
+    work = _work(spark, "drain")
+    rows = fx.base(spark, sf, "orders")
+    events = [env.envelope(fx.table_log(rows, "orders", (phase,)), ORDERS, F.col("op"), F.col("seq")) for phase in (1, 2, 3)]
+    events[0].coalesce(1).write.parquet(f"{work}/in")
+    app = Applier(spark, SourceConfig(path=f"{work}/in"), f"{work}/store", registry=_only_orders(), snapshot={"orders": rows}, consumer=ConsumerConfig(flush_interval_ms=100))
+    app.take_snapshot()
+    query = app.start()
+    query.processAllAvailable()
+    for e in events[1:]:
+        e.coalesce(1).write.mode("append").parquet(f"{work}/in")
+    query.processAllAvailable()
+    said = app.drain()
+    return _orders_shown(app).withColumn("drained", F.lit(said["drained"] and not query.isActive))
+
+
 def exists_by_id(spark: SparkSession, sf: str) -> DataFrame:
     rows = fx.base(spark, sf, "orders")
     return spark.createDataFrame([(k, read.exists_by_id(rows, k)) for k in (0, 42, -1)], "id long, found boolean")
@@ -284,7 +301,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         cells_truth_table, instants_truth_table, nested_cells, include_lists, transaction_metadata, message_log_rows, connector_settings, settings_accepted, retry_outcomes, store_single_rows,
-        store_two_writers, stream_snapshot_initial, stream_snapshot_only, stream_snapshot_never, stream_survives_failures, exists_by_id, sink_statements,
+        store_two_writers, stream_snapshot_initial, stream_snapshot_only, stream_snapshot_never, stream_survives_failures, stream_flush_and_drain, exists_by_id, sink_statements,
     )
 }
 
@@ -331,6 +348,7 @@ UNION ALL SELECT 4, count(*) FROM events WHERE event_id % 6 = 0""",
     "stream_snapshot_never": f"""SELECT id, CASE WHEN id % 10 = 0 THEN user_id END AS user_id, CAST(NULL AS BIGINT) AS product_id, 0 AS quantity, CASE WHEN id % 10 <> 0 THEN CAST(total * 2 AS DECIMAL(18,2)) END AS total, CAST(NULL AS TIMESTAMP) AS created_at
 FROM ({_ORDERS}) WHERE id % 10 = 0 OR id % 3 = 0 AND id % 5 <> 0""",
     "stream_survives_failures": f"SELECT *, 3 AS failures FROM ({_AFTER})",
+    "stream_flush_and_drain": f"SELECT *, true AS drained FROM ({_AFTER})",
     "exists_by_id": _values("id, found", ["CAST(0 AS BIGINT), true", "42, true", "-1, false"]),
     "sink_statements": _values("step, statement", [
         """0, 'DELETE FROM "reviews" WHERE "id" IN (SELECT "id" FROM "reviews_staging" WHERE reset OR NOT alive)'""",

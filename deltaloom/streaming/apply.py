@@ -71,13 +71,25 @@ class Applier:
             env.transactions(batch, cfg.payload).write.mode("overwrite").parquet(f"{self.store_path}/_transactions/batch={batch_id}")
         parsed = env.routed(env.include(env.parse(batch, cfg.payload), cfg.tables, cfg.schemas), self.registry).persist()
         try:
+            # A row for each table that has events: the others have nothing to commit.
+            found = {r["route"]: r["n"] for r in parsed.groupBy(F.when(F.col("e").isNotNull(), F.lower("table")).alias("route")).agg(F.count("*").alias("n")).collect()}
+            if None in found:
+                self._unreadable(parsed.filter("e IS NULL"), found.pop(None), batch_id)
+            readable = parsed.filter("e IS NOT NULL")
             # Small tables and large ones commit side by side; Spark shares the executors among them.
-            with ThreadPoolExecutor(max_workers=min(4, len(self.stores))) as pool:
-                for done in [pool.submit(self._one, parsed, route, batch_id) for route in self.stores]:
+            with ThreadPoolExecutor(max_workers=4) as pool:
+                for done in [pool.submit(self._one, readable, route, batch_id) for route in found]:
                     done.result()
         finally:
             parsed.unpersist()
 
+    def _unreadable(self, rows: DataFrame, n: int, batch_id: int) -> None:
+        """Events that are no JSON belong to no table."""
+        if self.on_error != "quarantine":
+            raise env.ChangeFormatError(f"bad change: no JSON, in {n} events of batch {batch_id}")
+        rows.select("seq", "op", F.lit("no JSON").alias("error"), "value").write.mode("overwrite").parquet(f"{self.store_path}/_quarantine/_unreadable/batch={batch_id}")
+        log.warning("%d events of batch %d are no JSON; set aside", n, batch_id)
+
     def _one(self, parsed: DataFrame, route: str, batch_id: int) -> None:
         store = self.stores[route]
         good, bad = env.check(env.decode(parsed, store.spec, self.source.ts_unit, self.honor_set, route), self.on_error)

@@ -429,7 +429,19 @@ def test_stream_restart_and_drain(spark, tmp_path):
         Applier(spark, SourceConfig(path=store), store)
 
 
-def test_stream_fails_loudly_or_quarantines(spark, tmp_path):
+def test_unreadable_events(spark, tmp_path, caplog):
+    src = str(tmp_path / "in")
+    spark.createDataFrame([event(after=cells(id=1, total=1)), ("t", 1, "{no json")], ENV).coalesce(1).write.parquet(src)
+    with pytest.raises(Exception, match="no JSON"):
+        Applier(spark, SourceConfig(path=src), str(tmp_path / "a")).run(sleep=lambda s: None)
+    app = Applier(spark, SourceConfig(path=src), str(tmp_path / "b"), on_error="quarantine")
+    app.run()
+    assert list(_got(app)) == [1] and "no JSON" in caplog.text
+    assert [r["value"] for r in spark.read.parquet(str(tmp_path / "b/_quarantine/_unreadable/batch=0")).collect()] == ["{no json"]
+    assert app.stores["users"].manifest()["version"] == -1  # no events, no commit
+
+
+def test_stream_fails_loudly_or_quarantines(spark, tmp_path, caplog):
     src = str(tmp_path / "in")
     spark.createDataFrame([event(after=cells(id=1, total=1)), event(op="x", after=cells(id=2), seq=1)], ENV).coalesce(1).write.parquet(src)
     with pytest.raises(Exception, match="unknown op x"):
@@ -438,6 +450,10 @@ def test_stream_fails_loudly_or_quarantines(spark, tmp_path):
     app.run()
     assert list(_got(app)) == [1]
     assert spark.read.parquet(str(tmp_path / "b/_quarantine/orders/batch=0")).count() == 1
+    assert "unknown op x (1, first at 1)" in caplog.text
+    caplog.clear()
+    Applier(spark, SourceConfig(path=src, log_error_messages=False), str(tmp_path / "c"), on_error="quarantine").run()
+    assert "1 events of batch 0 set aside" in caplog.text and "unknown op" not in caplog.text
 
 
 def test_simulator(spark):
