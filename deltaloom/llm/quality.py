@@ -4,7 +4,7 @@ Every document gets a vector of transformed statistics (mean word length, symbol
 repeated words). For each language and source the minimum-covariance-determinant estimate is fitted over all its
 documents that pass the base rules: from three starts (medians with absolute deviations, the plain moments, the moments of
 what lies around the medians) concentration steps go on, the h = (n + p + 1) / 2 nearest documents giving the next mean and
-covariance, until no determinant changes; the start that ends with the least determinant counts. All documents
+covariance; after two steps the start of the least determinant goes on until the determinants stand still. All documents
 within a chi-square quantile of it give the estimate. It holds while junk is less than half of a group. A
 document is rejected if its squared Mahalanobis distance exceeds a chi-square quantile.
 
@@ -37,8 +37,9 @@ REWEIGHTED = 0.975
 MIN_GROUP = 50
 #: Upper tail of the chi-square distribution beyond which a vector is an outlier.
 TAIL = 1e-6
-#: Concentration ends after so many steps at the latest; some five do.
-MOST_STEPS = 25
+#: All starts make so many steps, then the best one goes on until a step changes the logarithms of the determinants by
+#: TOLERANCE on average, or after MOST_STEPS in all; some six do.
+STEPS_OF_ALL, MOST_STEPS, TOLERANCE = 2, 25, 1e-3
 _BY = ["_dl_lang", "_dl_group"]
 
 
@@ -198,22 +199,24 @@ def _starts(rows: DataFrame, n_groups: int) -> DataFrame:
 def concentrate(rows: DataFrame, n_groups: int) -> DataFrame:
     """The estimate of least determinant of each group (_dl_lang, _dl_group) of rows: its logarithm ld, means and Cholesky factor."""
     by = [*_BY, "_dl_start"]
-    model, last = materialize(_starts(rows, n_groups)), None
-    for _ in range(MOST_STEPS):
+    model, last, per_group = materialize(_starts(rows, n_groups)), None, 3
+    for k in range(MOST_STEPS):
         # Distances on a logarithmic scale of 64 steps a power of e: a bounded number of distinct values a group.
-        far = rows.join(_small(model, 3 * n_groups), _BY).select(*by, *DIMS, F.floor(64 * F.log(_distance([F.col(d) for d in DIMS]) + 1e-3)).alias("_d"))
-        near = far.join(_small(_edges(far, by), 3 * n_groups), by).filter(F.col("_d") <= F.col("_edge"))
+        far = rows.join(_small(model, per_group * n_groups), _BY).select(*by, *DIMS, F.floor(64 * F.log(_distance([F.col(d) for d in DIMS]) + 1e-3)).alias("_d"))
+        near = far.join(_small(_edges(far, by), per_group * n_groups), by).filter(F.col("_d") <= F.col("_edge"))
         was, model = model, materialize(_factor(_estimate(near, consistency(COVERED), by)))
         release(was)
+        if k + 1 == STEPS_OF_ALL:  # the start that is ahead by now goes on alone
+            kept = [c for c in model.columns if c not in by]
+            was, model = model, materialize(model.groupBy(*_BY).agg(F.min_by(F.struct(*kept), F.struct("ld", "_dl_start")).alias("b")).select(*_BY, "b.*"))
+            release(was)
+            by, per_group, last = _BY, 1, None
         # Sums of whole numbers over the same rows are the same, so a step that changes nothing is seen for sure.
         now = model.agg(F.sum(F.round(1e6 * F.col("ld")).cast("decimal(38,0)"))).first()[0]
-        if now == last:
+        if per_group == 1 and (now is None or last is not None and abs(last - now) <= 1e6 * TOLERANCE * n_groups):
             break
         last = now
-    kept = [c for c in model.columns if c not in by]
-    best = materialize(model.groupBy(*_BY).agg(F.min_by(F.struct(*kept), F.struct("ld", "_dl_start")).alias("b")).select(*_BY, "b.*"))
-    release(model)
-    return best
+    return model
 
 
 def fit(stats: DataFrame, lang: str = "lang", source: str = "source") -> tuple[DataFrame, DataFrame, int]:
