@@ -69,7 +69,12 @@ class Applier:
         cfg = self.source
         if cfg.provide_transaction_metadata:
             env.transactions(batch, cfg.payload).write.mode("overwrite").parquet(f"{self.store_path}/_transactions/batch={batch_id}")
-        parsed = env.routed(env.include(env.parse(batch, cfg.payload), cfg.tables, cfg.schemas), self.registry).persist()
+        slots = self.spark.sparkContext.defaultParallelism
+        if 2 * batch.rdd.getNumPartitions() <= slots:  # a few large files: parsing is dear, moving text is not
+            batch = batch.repartition(slots)
+        parsed = env.routed(env.include(env.parse(batch, cfg.payload), cfg.tables, cfg.schemas), self.registry)
+        # The text is of use only where it could not be read.
+        parsed = parsed.withColumn("value", F.when(F.col("e").isNull(), F.col("value"))).persist()
         try:
             # A row for each table that has events: the others have nothing to commit.
             found = {r["route"]: r["n"] for r in parsed.groupBy(F.when(F.col("e").isNotNull(), F.lower("table")).alias("route")).agg(F.count("*").alias("n")).collect()}
