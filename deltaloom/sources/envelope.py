@@ -77,32 +77,38 @@ def decode(parsed: DataFrame, spec: TableSpec, ts_unit: str = "micros", honor_se
     """Typed rows of one table, of the events under its route (by default its name, in any case): seq, op, error, and the columns. A delete decodes its key only.
 
     error names what is wrong, else null: an op that is none, a missing key, a cell that does not fit its type.
-    honor_set adds `<c>__set`: the cell was set explicitly, be it to null. Each cell is looked up once and converted once.
+    honor_set adds `<c>__set`: the cell was set explicitly, be it to null. A scalar is read with its type at once, and looked
+    at again only if that gives null; instants and structs are taken out once and converted.
     """
     rows = parsed.filter((F.lower("table") == (route or spec.name).lower()) | F.col("e").isNull())
     is_delete = F.col("op") == "d"
     names = list(spec.columns)
+    whole = [isinstance(t, (T.TimestampType, T.TimestampNTZType, T.StructType)) for t in spec.columns.values()]
 
-    def raw(i: int, c: str) -> Column:
-        """The cell's value as it stands in the event; null if the cell is, or holds none."""
-        after = F.try_variant_get("e", f"$.after.{c}.value", "variant")
-        if c != spec.key:
-            return F.when(~is_delete, after).alias(f"r{i}")
-        return F.when(is_delete, F.try_variant_get("e", f"$.before.{c}.value", "variant")).otherwise(after).alias(f"r{i}")
+    def at(c: str, kind: str) -> Column:
+        """The cell's value in the image that counts, as the type."""
+        after = F.try_variant_get("e", f"$.after.{c}.value", kind)
+        return F.when(is_delete, F.try_variant_get("e", f"$.before.{c}.value", kind)).otherwise(after) if c == spec.key else F.when(~is_delete, after)
 
     sets = [F.coalesce(F.try_variant_get("e", f"$.after.{c}.set", "boolean"), F.lit(False)).alias(f"{c}__set") for c in spec.values] if honor_set else []
-    found = _once(rows.select("seq", "op", "e"), F.struct(F.col("e").isNotNull().alias("json"), *(raw(i, c) for i, c in enumerate(names)), *sets), "_r").drop("e")
-    typed = _once(found, F.struct(*(convert(F.col(f"_r.r{i}"), spec.columns[c], spec.ts_units.get(c, ts_unit)).alias(f"v{i}") for i, c in enumerate(names))), "_v")
-    there = lambda i: F.col(f"_r.r{i}").isNotNull() & ~F.is_variant_null(F.col(f"_r.r{i}"))
+    read = [at(c, "variant" if w else t.simpleString()).alias(f"c{i}") for i, ((c, t), w) in enumerate(zip(spec.columns.items(), whole))]
+    found = _once(rows.select("seq", "op", "e"), F.struct(*read, *sets), "_r")
+    made = [convert(F.col(f"_r.c{i}"), spec.columns[c], spec.ts_units.get(c, ts_unit)).alias(f"c{i}") for i, c in enumerate(names) if whole[i]]
+    typed = _once(found, F.struct(*made), "_v") if made else found
+    cell = lambda i: F.col(f"_v.c{i}" if whole[i] else f"_r.c{i}")
+
+    def there(i: int) -> Column:
+        return F.col(f"_r.c{i}").isNotNull() & ~F.is_variant_null(F.col(f"_r.c{i}")) if whole[i] else at(names[i], "string").isNotNull()
+
     error = F.coalesce(
-        F.when(~F.col("_r.json"), F.lit("no JSON")),
+        F.when(F.col("e").isNull(), F.lit("no JSON")),
         F.when(F.col("op").isNull() | ~F.col("op").isin(*OPS), F.concat(F.lit("unknown op "), F.coalesce("op", F.lit("null")))),
-        *(F.when(there(i) & F.col(f"_v.v{i}").isNull(), F.lit(f"cell {c} does not fit {spec.columns[c].simpleString()}")) for i, c in enumerate(names)),
-        F.when(F.col(f"_v.v{names.index(spec.key)}").isNull(), F.lit(f"no {spec.key}")),
+        *(F.when(cell(i).isNull() & there(i), F.lit(f"cell {c} does not fit {spec.columns[c].simpleString()}")) for i, c in enumerate(names)),
+        F.when(cell(names.index(spec.key)).isNull(), F.lit(f"no {spec.key}")),
     )
 
     def value(i: int, c: str) -> Column:
-        v = F.col(f"_v.v{i}")
+        v = cell(i)
         return F.when(F.coalesce(~is_delete, F.lit(True)), with_default(v, spec.null_defaults.get(c), spec.columns[c])).alias(c) if c in spec.null_defaults else v.alias(c)
 
     # What is wrong is worked out once as well: a filter on it would else be a copy of it.
