@@ -49,8 +49,11 @@ def main(argv: list[str]) -> int:
     with open(argv[0]) as f:
         settings = json.load(f)
     app = build(settings)
-    signal.signal(signal.SIGTERM, lambda *_: app.drain())
-    app.run(settings.get("available_now", False))
+    was = signal.signal(signal.SIGTERM, lambda *_: app.drain())
+    try:
+        app.run(settings.get("available_now", False))
+    finally:
+        signal.signal(signal.SIGTERM, was)
     return 0
 
 
