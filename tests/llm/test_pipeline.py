@@ -6,11 +6,9 @@ from collections import Counter, defaultdict
 
 import pytest
 
-corpus_pipeline = pytest.importorskip("corpus_pipeline")
-pytest.importorskip("public_tokenizers")
-
-from deltaloom.llm import quality, secrets  # noqa: E402
-from deltaloom.llm.common import materialize, release_all  # noqa: E402
+import corpus_pipeline
+from deltaloom.llm import quality, secrets
+from deltaloom.llm.common import materialize, release_all
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 KEY = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
